@@ -1,16 +1,23 @@
-"""Rounding, exact sums and number cleaning as native column expressions."""
+"""Rounding and number cleaning as native expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Mapping, Sequence
 
+from pyspark.sql import Column, DataFrame, functions as F
 
-def half_away(value: Column) -> Column:
-    """Nearest whole number, ties away from zero.
 
-    ``F.round`` on a double builds a BigDecimal per row; floor arithmetic gives
-    the same answer inside generated code at about a ninth of the cost.
+def half_away_sql(name: str) -> str:
+    """Nearest whole number of a double column, ties away from zero.
+
+    ``round`` on a double builds a BigDecimal per row; floor arithmetic gives
+    the same answer inside generated code at about a ninth of the cost. The
+    column is named several times, so give it a name first (see below).
     """
+    return f"signum({name}) * (floor(abs({name})) + if(abs({name}) - floor(abs({name})) >= 0.5D, 1, 0))"
+
+
+def half_away(value: Column) -> Column:
     size = F.abs(value)
     whole = F.floor(size)
     return F.signum(value) * (whole + F.when(size - whole >= 0.5, 1).otherwise(0))
@@ -22,39 +29,18 @@ def rounded(value: Column, digits: int) -> Column:
     return half_away(value * factor) / factor
 
 
-# Sums are kept as whole numbers so that they do not depend on the order in
-# which partitions arrive. Ten digits after the point, split in two longs:
-# room for 9e14 units of money and 9e12 rows in one group.
-_UNITS = 10_000_000_000
-_SPLIT = 1_000_000
-
-
-def exact_sum(value: Column, digits: int | None = None) -> Column:
-    """Order-independent sum of doubles.
+def select_rounded(
+    df: DataFrame, columns: Sequence[str], rounding: Mapping[str, tuple[str, int]]
+) -> DataFrame:
+    """Select ``columns`` (names or SQL) and rounded SQL expressions.
 
-    ``digits`` says the value was already rounded to that many digits, which
-    lets one long per group carry the sum.
+    Scaling and rounding are separate projections: Catalyst keeps them apart
+    because the scaled value is used several times, so each expression is
+    computed once per row.
     """
-    if digits is not None:
-        factor = float(10**digits)
-        return F.sum(half_away(value * factor).cast("bigint")).cast("double") / factor
-    units = half_away(value * float(_UNITS)).cast("bigint")
-    high = F.sum(F.call_function("div", units, F.lit(_SPLIT)))
-    low = F.sum(units % _SPLIT)
-    total = high.cast("decimal(20,0)") * F.lit(_SPLIT).cast("decimal(7,0)") + low.cast("decimal(20,0)")
-    return total.cast("double") / float(_UNITS)
-
-
-def exact_avg(value: Column, digits: int | None = None) -> Column:
-    return exact_sum(value, digits) / F.nullif(F.count(value), F.lit(0))
-
-
-def rounded_avg(value: Column, digits: int, stored_digits: int | None = None) -> Column:
-    return rounded(exact_avg(value, stored_digits), digits)
-
-
-def rounded_sum(value: Column, digits: int, stored_digits: int | None = None) -> Column:
-    return rounded(exact_sum(value, stored_digits), digits)
+    scaled = df.selectExpr(*columns, *[f"({sql}) * {10**d}D as `{n}`" for n, (sql, d) in rounding.items()])
+    done = {n: f"{half_away_sql(f'`{n}`')} / {10**d}D as `{n}`" for n, (_, d) in rounding.items()}
+    return scaled.selectExpr(*[done.get(c, f"`{c}`") for c in scaled.columns])
 
 
 def strip_to_number(text: Column) -> Column:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillmetrics.functions.num import exact_sum, rounded, rounded_avg, rounded_sum
+from tillmetrics.functions.num import select_rounded
+from tillmetrics.operators.exact import exact_agg, mean, total
 
 
 def headline(sales: DataFrame, discount_share: bool = True) -> DataFrame:
@@ -13,39 +14,43 @@ def headline(sales: DataFrame, discount_share: bool = True) -> DataFrame:
     The discount rate is the share of discounted rows (marketplace) or, with
     ``discount_share=False``, the mean discount in percent (web shop).
     """
-    flagged = F.when(F.col("discount_applied"), 100.0).otherwise(0.0)
-    rate = flagged if discount_share else F.col("discount_used_pct")
-    totals = sales.agg(
-        F.coalesce(exact_sum(F.col("units_sold")), F.lit(0.0)).alias("total_units"),
-        F.coalesce(exact_sum(F.col("revenue")), F.lit(0.0)).alias("_revenue"),
-        F.coalesce(exact_sum(F.col("revenue_ex_vat"), 2), F.lit(0.0)).alias("_revenue_ex"),
-        F.greatest(F.countDistinct("week_number"), F.lit(1)).alias("week_count"),
-        F.coalesce(rounded_avg(F.col("net_margin_pct"), 1), F.lit(0.0)).alias("avg_margin_pct"),
-        F.coalesce(rounded_avg(rate, 1), F.lit(0.0)).alias("discount_rate"),
-    )
-    return totals.select(
-        "total_units",
-        rounded(F.col("_revenue"), 2).alias("total_revenue"),
-        rounded(F.col("_revenue_ex"), 2).alias("total_revenue_ex_vat"),
-        "week_count",
-        rounded(F.col("_revenue") / F.col("week_count"), 2).alias("avg_weekly_revenue"),
-        rounded(F.col("_revenue_ex") / F.col("week_count"), 2).alias("avg_weekly_revenue_ex_vat"),
-        "avg_margin_pct",
-        "discount_rate",
+    rate = "if(discount_applied, 100D, 0D)" if discount_share else "discount_used_pct"
+    totals = exact_agg(
+        sales,
+        [],
+        {"week_count": "greatest(count(distinct week_number), 1)"},
+        {
+            "total_units": total("units_sold", None),
+            "_revenue": total("revenue", None),
+            "_revenue_ex": total("revenue_ex_vat", None, stored=2),
+            "avg_margin_pct": mean("net_margin_pct", 1),
+            "discount_rate": mean(rate, 1),
+        },
+    ).na.fill(0.0)
+    return select_rounded(
+        totals,
+        ["total_units", "week_count", "avg_margin_pct", "discount_rate"],
+        {
+            "total_revenue": ("_revenue", 2),
+            "total_revenue_ex_vat": ("_revenue_ex", 2),
+            "avg_weekly_revenue": ("_revenue / week_count", 2),
+            "avg_weekly_revenue_ex_vat": ("_revenue_ex / week_count", 2),
+        },
     )
 
 
 def by_product(sales: DataFrame) -> DataFrame:
     """Units, revenue and mean margin per product, best seller first."""
-    return (
-        sales.groupBy("product_name")
-        .agg(
-            rounded_sum(F.col("units_sold"), 2).alias("units_sold"),
-            rounded_sum(F.col("revenue"), 2).alias("revenue"),
-            rounded_avg(F.col("net_margin_pct"), 1).alias("margin_pct"),
-        )
-        .orderBy(F.col("units_sold").desc(), F.col("product_name"))
-    )
+    return exact_agg(
+        sales,
+        ["product_name"],
+        {},
+        {
+            "units_sold": total("units_sold"),
+            "revenue": total("revenue"),
+            "margin_pct": mean("net_margin_pct", 1),
+        },
+    ).orderBy(F.col("units_sold").desc(), F.col("product_name"))
 
 
 def discount_split(sales: DataFrame) -> DataFrame:
@@ -54,10 +59,15 @@ def discount_split(sales: DataFrame) -> DataFrame:
 
 def leaders(sales: DataFrame) -> DataFrame:
     """Top seller by units (above zero) and most profitable product; ties by name."""
-    per_product = sales.groupBy("product_name").agg(
-        exact_sum(F.col("units_sold")).alias("units"),
-        exact_sum(F.col("revenue")).alias("revenue"),
-        exact_sum(F.col("net_margin_eur") * F.col("units_sold")).alias("profit"),
+    per_product = exact_agg(
+        sales,
+        ["product_name"],
+        {},
+        {
+            "units": total("units_sold", None),
+            "revenue": total("revenue", None),
+            "profit": total("net_margin_eur * units_sold", None),
+        },
     )
 
     def leading(measure: str, eligible: Column) -> Column:
@@ -67,28 +77,31 @@ def leaders(sales: DataFrame) -> DataFrame:
     picked = per_product.agg(
         leading("units", F.col("units") > 0).alias("s"), leading("profit", F.lit(True)).alias("p")
     )
-    return picked.select(
-        F.coalesce("s.product_name", F.lit("-")).alias("top_seller"),
-        rounded(F.coalesce("s.units", F.lit(0.0)), 2).alias("top_seller_units"),
-        rounded(F.coalesce("s.revenue", F.lit(0.0)), 2).alias("top_seller_revenue"),
-        F.coalesce("p.product_name", F.lit("-")).alias("most_profitable"),
-        rounded(F.col("p.profit"), 2).alias("most_profitable_profit"),
-        rounded(F.coalesce("p.units", F.lit(0.0)), 2).alias("most_profitable_units"),
+    return select_rounded(
+        picked,
+        [
+            "coalesce(s.product_name, '-') as top_seller",
+            "coalesce(p.product_name, '-') as most_profitable",
+        ],
+        {
+            "top_seller_units": ("coalesce(s.units, 0D)", 2),
+            "top_seller_revenue": ("coalesce(s.revenue, 0D)", 2),
+            "most_profitable_profit": ("p.profit", 2),
+            "most_profitable_units": ("coalesce(p.units, 0D)", 2),
+        },
     )
 
 
 def filter_domains(sales: DataFrame) -> DataFrame:
     """Choices the filters offer: weeks, products and the date range, as rows."""
-    weeks = sales.select(F.lit("week").alias("kind"), F.col("week_number").cast("string").alias("value")).distinct()
-    products = sales.select(F.lit("product").alias("kind"), F.col("product_name").alias("value")).filter(
-        "value <> ''"
-    ).distinct()
-    bounds = sales.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("min_date").alias("kind"), F.col("lo").cast("string").alias("value")),
-                F.struct(F.lit("max_date").alias("kind"), F.col("hi").cast("string").alias("value")),
-            )
-        )
+    weeks = sales.select(F.lit("week").alias("kind"), F.col("week_number").cast("string").alias("value"))
+    products = sales.select(F.lit("product").alias("kind"), F.col("product_name").alias("value"))
+    bounds = sales.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).selectExpr(
+        "stack(2, 'min_date', string(lo), 'max_date', string(hi)) as (kind, value)"
+    )
+    return (
+        weeks.filter("value is not null")
+        .distinct()
+        .unionByName(products.filter("value <> ''").distinct())
+        .unionByName(bounds)
     )
-    return weeks.filter("value is not null").unionByName(products).unionByName(bounds)

@@ -2,23 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tillmetrics.fixed import AFFILIATE_RATE, VAT_DIVISOR
-from tillmetrics.functions.num import rounded
+from tillmetrics.functions.num import select_rounded
 from tillmetrics.operators.keyed import first_per_key
 from tillmetrics.operators.lookups import with_lookups
 
 
-def _or_zero(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0.0))
-
-
-def _share(part: Column, whole: Column) -> Column:
-    """part / whole, NULL instead of an error for a zero whole."""
-    return part / F.nullif(whole, F.lit(0.0))
-
-
 def marketplace_profitability(
     orders: DataFrame,
     offers: DataFrame,
@@ -35,47 +26,51 @@ def marketplace_profitability(
     """
     if dedupe_offers:
         offers = first_per_key(offers, ["ean"], F.col("offer_id"))
-    offer_price = offers.select("ean", F.col("unit_price").alias("_offer_price"))
-    cost = costs.select(
-        "ean",
-        F.col("original_price").alias("_listed_price"),
-        F.col("cogs").alias("_cogs"),
-        F.col("estimated_ad_cost").alias("_ad_cost"),
-    )
     lines = with_lookups(
-        orders, "ean", offer_price, cost, spread_by=["order_id", "order_item_id"]
+        orders,
+        "ean",
+        offers.selectExpr("ean", "unit_price as _offer_price"),
+        costs.selectExpr(
+            "ean", "original_price as _listed_price", "cogs as _cogs", "estimated_ad_cost as _ad_cost"
+        ),
+        spread_by=["order_id", "order_item_id"],
     )
-
-    price, units = F.col("unit_price"), F.col("quantity")
-    original = F.col("_offer_price")
-    if after_commission:
-        original = F.coalesce(F.nullif(F.col("_listed_price"), F.lit(0.0)), original)
-    cogs, ad_cost = _or_zero("_cogs"), _or_zero("_ad_cost")
-    net = price / VAT_DIVISOR
-    margin = net - cogs - ad_cost
-    if after_commission:
-        margin = margin - F.col("commission")
-    return lines.select(
+    # a manual price entry comes before the price of the offer
+    original = "coalesce(nullif(_listed_price, 0D), _offer_price)" if after_commission else "_offer_price"
+    commission = "bol_commission" if after_commission else "commission"
+    priced = lines.selectExpr(
         "order_id",
         "order_item_id",
-        F.col("order_placed_at").alias("date"),
-        F.col("title").alias("product_name"),
+        "order_placed_at as date",
+        "title as product_name",
         "ean",
-        units.alias("units_sold"),
-        price.alias("selling_price"),
-        F.col("commission").alias("bol_commission" if after_commission else "commission"),
-        original.alias("original_price"),
-        cogs.alias("cogs"),
-        ad_cost.alias("estimated_ad_cost"),
-        (cogs * units).alias("cogs_total"),
-        rounded(net, 2).alias("net_selling_price"),
-        F.when(original > 0, rounded(_share(original - price, original) * 100, 1))
-        .otherwise(0.0)
-        .alias("discount_used_pct"),
-        rounded(margin, 2).alias("net_margin_eur"),
-        F.when(price > 0, rounded(_share(margin, net) * 100, 1)).otherwise(0.0).alias("net_margin_pct"),
-        (price * units).alias("revenue"),
-        rounded(margin * units, 2).alias("profit"),
+        "quantity as units_sold",
+        "unit_price as selling_price",
+        f"commission as {commission}",
+        f"{original} as original_price",
+        "coalesce(_cogs, 0D) as cogs",
+        "coalesce(_ad_cost, 0D) as estimated_ad_cost",
+        f"unit_price / {VAT_DIVISOR}D as _net",
+    )
+    margin = "_net - cogs - estimated_ad_cost" + (f" - {commission}" if after_commission else "")
+    return select_rounded(
+        priced.selectExpr("*", f"{margin} as _margin"),
+        [
+            "order_id", "order_item_id", "date", "product_name", "ean", "units_sold", "selling_price",
+            commission, "original_price", "cogs", "estimated_ad_cost",
+            "cogs * units_sold as cogs_total",
+            "selling_price * units_sold as revenue",
+        ],
+        {
+            "net_selling_price": ("_net", 2),
+            "discount_used_pct": (
+                "if(original_price > 0, (original_price - selling_price) / nullif(original_price, 0D) * 100, 0D)",
+                1,
+            ),
+            "net_margin_eur": ("_margin", 2),
+            "net_margin_pct": ("if(selling_price > 0, _margin / nullif(_net, 0D) * 100, 0D)", 1),
+            "profit": ("_margin * units_sold", 2),
+        },
     )
 
 
@@ -85,56 +80,57 @@ def webshop_profitability(items: DataFrame, orders: DataFrame, costs: DataFrame)
     The affiliate fee applies to orders that came through a landing site. Ad
     cost is shown but not part of the margin.
     """
-    header = orders.select("order_id", F.col("created_at").alias("date"), "landing_site")
-    cost = costs.select(
-        "sku",
-        F.col("product_name").alias("_listed_name"),
-        F.col("original_price").alias("_listed_price"),
-        F.col("cogs").alias("_cogs"),
-        F.col("estimated_ad_cost").alias("_ad_cost"),
-    )
-    wanted = items.select(
-        "order_id", "line_item_id", "sku", "name", "quantity", "price", "total_discount"
-    )
-    lines = with_lookups(wanted, "order_id", header, how="inner", spread_by=["line_item_id"])
-    lines = with_lookups(lines, "sku", cost, spread_by=["line_item_id", "order_id"])
-
-    price, units = F.col("price"), F.col("quantity")
-    base = lines.select(
+    lines = with_lookups(
+        items.select("order_id", "line_item_id", "sku", "name", "quantity", "price", "total_discount"),
         "order_id",
-        "line_item_id",
-        "date",
-        "landing_site",
-        F.coalesce("_listed_name", "name").alias("product_name"),
+        orders.selectExpr("order_id", "created_at as date", "landing_site is not null as _referred"),
+        how="inner",
+        spread_by=["line_item_id"],
+    )
+    lines = with_lookups(
+        lines,
         "sku",
-        units.alias("units_sold"),
-        _share(price * units - F.col("total_discount"), units.cast("double")).alias("selling_price"),
-        F.coalesce("_listed_price", "price").alias("original_price"),
-        _or_zero("_cogs").alias("cogs"),
-        _or_zero("_ad_cost").alias("estimated_ad_cost"),
+        costs.selectExpr(
+            "sku", "product_name as _listed_name", "original_price as _listed_price",
+            "cogs as _cogs", "estimated_ad_cost as _ad_cost",
+        ),
+        spread_by=["line_item_id", "order_id"],
     )
-    sell, original = F.col("selling_price"), F.col("original_price")
-    fee = F.when(F.col("landing_site").isNotNull(), sell * AFFILIATE_RATE).otherwise(0.0)
-    margin = sell / VAT_DIVISOR - F.col("cogs") - fee
-    discount = F.when(original > 0, _share(original - sell, original)).otherwise(0.0)
-    return base.select(
+    base = lines.selectExpr(
         "order_id",
         "line_item_id",
         "date",
-        "product_name",
+        "_referred",
+        "coalesce(_listed_name, name) as product_name",
         "sku",
-        "units_sold",
-        "selling_price",
-        "original_price",
-        "cogs",
-        "estimated_ad_cost",
-        F.when(F.col("landing_site").isNotNull(), rounded(sell * AFFILIATE_RATE, 2))
-        .otherwise(0.0)
-        .alias("shopify_affiliate_fee"),
-        (F.col("cogs") * F.col("units_sold")).alias("cogs_total"),
-        rounded(sell / VAT_DIVISOR, 2).alias("net_selling_price"),
-        (rounded(discount, 3) * 100).alias("discount_used_pct"),
-        rounded(margin, 2).alias("net_margin_eur"),
-        (sell * F.col("units_sold")).alias("revenue"),
-        rounded(margin * F.col("units_sold"), 2).alias("profit"),
+        "quantity as units_sold",
+        "(price * quantity - total_discount) / nullif(quantity, 0) as selling_price",
+        "coalesce(_listed_price, price) as original_price",
+        "coalesce(_cogs, 0D) as cogs",
+        "coalesce(_ad_cost, 0D) as estimated_ad_cost",
+    )
+    margined = base.selectExpr(
+        "*",
+        f"selling_price / {VAT_DIVISOR}D - cogs - if(_referred, selling_price * {AFFILIATE_RATE}D, 0D) as _margin",
+    )
+    rounded = select_rounded(
+        margined,
+        [
+            "order_id", "line_item_id", "date", "product_name", "sku", "units_sold", "selling_price",
+            "original_price", "cogs", "estimated_ad_cost",
+            "cogs * units_sold as cogs_total",
+            "selling_price * units_sold as revenue",
+        ],
+        {
+            "shopify_affiliate_fee": (f"if(_referred, selling_price * {AFFILIATE_RATE}D, 0D)", 2),
+            "net_selling_price": (f"selling_price / {VAT_DIVISOR}D", 2),
+            # a share with three digits, shown as a percentage below
+            "discount_used_pct": (
+                "if(original_price > 0, (original_price - selling_price) / nullif(original_price, 0D), 0D)",
+                3,
+            ),
+            "net_margin_eur": ("_margin", 2),
+            "profit": ("_margin * units_sold", 2),
+        },
     )
+    return rounded.withColumn("discount_used_pct", F.col("discount_used_pct") * 100)

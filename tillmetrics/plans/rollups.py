@@ -6,11 +6,11 @@ that holds a third of the lines costs one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tillmetrics.fixed import VAT_DIVISOR
-from tillmetrics.functions.dates import iso_week, week_end, week_start
-from tillmetrics.functions.num import exact_avg, rounded, rounded_avg, rounded_sum
+from tillmetrics.functions.dates import iso_week, week_end
+from tillmetrics.operators.exact import Measure, exact_agg, mean, total
 
 
 def _product_key(lines: DataFrame) -> str:
@@ -18,35 +18,33 @@ def _product_key(lines: DataFrame) -> str:
     return "ean" if "ean" in lines.columns else "sku"
 
 
-def _margin_pct(lines: DataFrame) -> Column:
-    """Average margin %. Web-shop lines carry no percentage, so it is derived."""
+def _measures(lines: DataFrame, with_ad_cost: bool) -> dict[str, Measure]:
+    """Averages and totals of a rollup. Web-shop lines carry no margin
+    percentage, so theirs is derived from the margin and the net price."""
     if "net_margin_pct" in lines.columns:
-        return rounded_avg(F.col("net_margin_pct"), 1, 1)
-    net = F.nullif(F.col("selling_price") / VAT_DIVISOR, F.lit(0.0))
-    return rounded(exact_avg(F.col("net_margin_eur") / net) * 100, 1)
-
-
-def _measures(lines: DataFrame, with_ad_cost: bool) -> list[Column]:
-    col = F.col
-    ad_cost = [rounded_avg(col("estimated_ad_cost"), 2).alias("avg_ad_cost")] if with_ad_cost else []
-    return [
-        F.sum("units_sold").alias("total_units"),
-        rounded_avg(col("cogs"), 2).alias("avg_cogs"),
-        *ad_cost,
-        rounded_avg(col("selling_price"), 2).alias("avg_selling_price"),
-        rounded_avg(col("original_price"), 2).alias("avg_original_price"),
-        rounded_avg(col("discount_used_pct"), 1, 1).alias("avg_discount_pct"),
-        rounded_avg(col("net_margin_eur"), 2, 2).alias("avg_net_margin"),
-        _margin_pct(lines).alias("avg_margin_pct"),
-        rounded_sum(col("revenue"), 2).alias("total_revenue"),
-        rounded_sum(col("profit"), 2, 2).alias("total_profit"),
-    ]
+        margin_pct = mean("net_margin_pct", 1, stored=1)
+    else:
+        margin_pct = mean(f"net_margin_eur / nullif(selling_price / {VAT_DIVISOR}D, 0D)", 1, times=100)
+    return {
+        "avg_cogs": mean("cogs"),
+        **({"avg_ad_cost": mean("estimated_ad_cost")} if with_ad_cost else {}),
+        "avg_selling_price": mean("selling_price"),
+        "avg_original_price": mean("original_price"),
+        "avg_discount_pct": mean("discount_used_pct", 1, stored=1),
+        "avg_net_margin": mean("net_margin_eur", stored=2),
+        "avg_margin_pct": margin_pct,
+        "total_revenue": total("revenue"),
+        "total_profit": total("profit", stored=2),
+    }
 
 
 def product_summary(lines: DataFrame) -> DataFrame:
     """Per product: latest order, units, averages, revenue and profit."""
-    return lines.groupBy("product_name", _product_key(lines)).agg(
-        F.max("date").alias("latest_order"), *_measures(lines, with_ad_cost=False)
+    return exact_agg(
+        lines,
+        ["product_name", _product_key(lines)],
+        {"latest_order": "max(date)", "total_units": "sum(units_sold)"},
+        _measures(lines, with_ad_cost=False),
     )
 
 
@@ -56,25 +54,27 @@ def newest_first(summary: DataFrame) -> DataFrame:
 
 def grand_total(summary: DataFrame) -> DataFrame:
     """Units, revenue and profit over all product rows."""
-    return summary.agg(
-        F.coalesce(F.sum("total_units"), F.lit(0)).alias("total_units"),
-        F.coalesce(rounded_sum(F.col("total_revenue"), 2, 2), F.lit(0.0)).alias("total_revenue"),
-        F.coalesce(rounded_sum(F.col("total_profit"), 2, 2), F.lit(0.0)).alias("total_profit"),
-    )
+    return exact_agg(
+        summary,
+        [],
+        {"total_units": "coalesce(sum(total_units), 0)"},
+        {"total_revenue": total("total_revenue", stored=2), "total_profit": total("total_profit", stored=2)},
+    ).na.fill(0.0)
 
 
 def weekly_rollup(lines: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Per Monday-to-Sunday week and product; dates inclusive."""
     key = _product_key(lines)
-    dated = lines.withColumn("_day", F.col("date").cast("date"))
+    dated = lines.withColumn("date", F.col("date").cast("date"))
     if start is not None:
-        dated = dated.filter(F.col("_day") >= F.lit(start).cast("date"))
+        dated = dated.filter(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
-        dated = dated.filter(F.col("_day") <= F.lit(end).cast("date"))
-    rolled = (
-        dated.withColumn("week_start", week_start(F.col("_day")))
-        .groupBy("week_start", "product_name", key)
-        .agg(F.max("_day").alias("latest_order"), *_measures(lines, with_ad_cost=True))
+        dated = dated.filter(F.col("date") <= F.lit(end).cast("date"))
+    rolled = exact_agg(
+        dated.withColumn("week_start", F.trunc("date", "week")),
+        ["week_start", "product_name", key],
+        {"latest_order": "max(date)", "total_units": "sum(units_sold)"},
+        _measures(lines, with_ad_cost=True),
     )
     monday = F.col("week_start")
     return rolled.select(

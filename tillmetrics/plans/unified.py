@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillmetrics.functions.dates import week_start
-from tillmetrics.functions.num import exact_avg, exact_sum, rounded, rounded_sum
+from tillmetrics.functions.num import rounded
+from tillmetrics.operators.exact import exact_agg, mean, total
 from tillmetrics.operators.lookups import with_lookups
 
 MARKETPLACE, WEBSHOP = "bol", "shopify"
@@ -19,9 +20,11 @@ def surrogate_key(*columns: str) -> Column:
 
 def marketplace_order_totals(lines: DataFrame) -> DataFrame:
     """Order headers summed up from marketplace order lines."""
-    return lines.groupBy("order_id").agg(
-        F.min("order_placed_at").alias("order_placed_at"),
-        rounded_sum(F.col("total_price"), 2).alias("total_price"),
+    return exact_agg(
+        lines,
+        ["order_id"],
+        {"order_placed_at": "min(order_placed_at)"},
+        {"total_price": total("total_price")},
     )
 
 
@@ -64,11 +67,11 @@ def fct_orders(unified: DataFrame) -> DataFrame:
 
 def revenue_by_channel(orders: DataFrame) -> DataFrame:
     """Orders, revenue and average order value per day and channel."""
-    price = F.col("total_price")
-    return orders.groupBy(F.col("order_placed_at").cast("date").alias("order_date"), "channel").agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        rounded_sum(price, 2).alias("total_revenue"),
-        rounded(exact_avg(price), 2).alias("avg_order_value"),
+    return exact_agg(
+        orders.withColumn("order_date", F.col("order_placed_at").cast("date")),
+        ["order_date", "channel"],
+        {"total_orders": "count(1)"},
+        {"total_revenue": total("total_price"), "avg_order_value": mean("total_price")},
     )
 
 
@@ -78,22 +81,21 @@ def product_performance(order_lines: DataFrame, products: DataFrame) -> DataFram
     ``order_lines``: product_key, order_id, units, revenue. Lines shrink to one
     row per product and order, then to one row per product, before the join.
     """
-    per_product = (
-        order_lines.groupBy("product_key", "order_id")
-        .agg(F.sum("units").alias("units"), exact_sum(F.col("revenue")).alias("revenue"))
-        .groupBy("product_key")
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            F.sum("units").alias("units"),
-            exact_sum(F.col("revenue")).alias("revenue"),
-        )
+    per_order = exact_agg(
+        order_lines, ["product_key", "order_id"], {"units": "sum(units)"}, {"revenue": total("revenue", None)}
+    )
+    per_product = exact_agg(
+        per_order,
+        ["product_key"],
+        {"total_orders": "count(order_id)", "units_sold": "sum(units)"},
+        {"revenue": total("revenue", None)},
     )
     named = products.select("product_key", "product_name", "sku", "channel")
-    joined = with_lookups(per_product, "product_key", named, how="inner")
-    return joined.groupBy("product_name", "sku", "channel").agg(
-        F.sum("total_orders").alias("total_orders"),
-        F.sum("units").alias("units_sold"),
-        rounded_sum(F.col("revenue"), 2).alias("total_revenue"),
+    return exact_agg(
+        with_lookups(per_product, "product_key", named, how="inner"),
+        ["product_name", "sku", "channel"],
+        {"total_orders": "sum(total_orders)", "units_sold": "sum(units_sold)"},
+        {"total_revenue": total("revenue")},
     )
 
 
@@ -110,10 +112,10 @@ def convert_currency(amount: Column, currency: Column, rates: DataFrame, to: str
 
 def channel_split(orders: DataFrame) -> DataFrame:
     """Revenue per channel and its share of the whole."""
-    per_channel = orders.groupBy("channel").agg(
-        F.count(F.lit(1)).alias("total_orders"), rounded_sum(F.col("total_price"), 2).alias("revenue")
+    per_channel = exact_agg(
+        orders, ["channel"], {"total_orders": "count(1)"}, {"revenue": total("total_price")}
     )
-    whole = per_channel.agg(rounded_sum(F.col("revenue"), 2, 2)).scalar()
+    whole = per_channel.agg(F.sum("revenue")).scalar()
     return per_channel.withColumn(
         "share_pct", rounded(F.col("revenue") / F.nullif(whole, F.lit(0.0)) * 100, 2)
     )
@@ -131,8 +133,11 @@ def weekly_growth(orders: DataFrame) -> DataFrame:
     The window runs over rows already summed per week, a few per channel and
     year.
     """
-    weekly = orders.groupBy("channel", week_start(F.col("order_placed_at")).alias("week_start")).agg(
-        rounded_sum(F.col("total_price"), 2).alias("revenue")
+    weekly = exact_agg(
+        orders.withColumn("week_start", week_start(F.col("order_placed_at"))),
+        ["channel", "week_start"],
+        {},
+        {"revenue": total("total_price")},
     )
     before = F.lag("revenue").over(Window.partitionBy("channel").orderBy("week_start"))
     return weekly.withColumn("previous_revenue", before).withColumn(
