@@ -7,6 +7,8 @@ exploded before its numbers are known.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillmetrics.fixed import VISIT_COUNT_KEYS
@@ -14,6 +16,11 @@ from tillmetrics.functions.dates import iso_day
 from tillmetrics.schemas import DAILY_PAYLOAD, PERIOD_PAYLOAD
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _list(value: Column) -> Column:
     """The array without NULL elements; empty when there is no array."""
     return F.filter(F.coalesce(value, F.array()), lambda x: x.isNotNull())
@@ -21,27 +28,32 @@ def _list(value: Column) -> Column:
 
 def _count(node: Column) -> Column:
     """First numeric count of a node as a whole number, 0 without one."""
-    return F.coalesce(*[node[k].cast("bigint") for k in VISIT_COUNT_KEYS], F.lit(0).cast("bigint"))
+    return F.coalesce(*[node[k] for k in VISIT_COUNT_KEYS], F.lit(0.0)).cast("bigint")
 
 
 def _countries(node: Column) -> Column:
     """Country entries of a node: its own lists and those one level down."""
-    own = F.concat(_list(node["countries"]), _list(node["country"]))
-    nested = [
-        F.flatten(
-            F.transform(_list(node[k]), lambda s: F.concat(_list(s["countries"]), _list(s["country"])))
-        )
-        for k in ("insights", "items", "results")
-    ]
-    return F.concat(own, *nested)
+    subs = F.concat(*[_list(node[k]) for k in ("insights", "items", "results")])
+    nested = F.flatten(F.transform(subs, lambda s: F.concat(_list(s["countries"]), _list(s["country"]))))
+    return F.concat(_list(node["countries"]), _list(node["country"]), nested)
 
 
-def _country_sum(entries: Column, code: str) -> Column:
-    def entry_code(e: Column) -> Column:
-        return F.upper(F.coalesce(F.nullif(e["countryCode"], F.lit("")), e["country"], F.lit("")))
+def _pair(nl: Column, be: Column) -> Column:
+    return F.struct(nl.cast("bigint").alias("nl"), be.cast("bigint").alias("be"))
 
-    matching = F.filter(entries, lambda e: entry_code(e) == code)
-    return F.aggregate(matching, F.lit(0).cast("bigint"), lambda total, e: total + _count(e))
+
+def _by_country(entries: Column) -> Column:
+    """Visits of NL and BE over country entries."""
+
+    def add(total: Column, entry: Column) -> Column:
+        code = F.upper(F.coalesce(F.nullif(entry["countryCode"], F.lit("")), entry["country"], F.lit("")))
+        n = _count(entry)
+        return _pair(
+            total["nl"] + F.when(code == "NL", n).otherwise(0),
+            total["be"] + F.when(code == "BE", n).otherwise(0),
+        )
+
+    return F.aggregate(entries, _pair(F.lit(0), F.lit(0)), add)
 
 
 def _plain_node(node: Column) -> Column:
@@ -54,28 +66,31 @@ def _visits(node: Column) -> Column:
     """Struct of nl, be and total for one payload or one day of a series."""
     nodes = F.concat(F.array(_plain_node(node)), _list(node["offerInsights"]))
     per_node = F.transform(
-        nodes,
-        lambda n: F.struct(
-            _country_sum(_countries(n), "NL").alias("nl"),
-            _country_sum(_countries(n), "BE").alias("be"),
-            _count(n).alias("own"),
-        ),
-    )
-    zero = F.struct(F.lit(0).cast("bigint").alias("nl"), F.lit(0).cast("bigint").alias("be"))
-    # nothing by country: the first positive count, or whatever the last node says
-    own = F.transform(per_node, lambda v: v["own"])
-    fallback = F.coalesce(F.get(F.filter(own, lambda x: x > 0), 0), F.element_at(own, -1))
-    return F.aggregate(
-        per_node,
-        zero,
-        lambda t, v: F.struct((t["nl"] + v["nl"]).alias("nl"), (t["be"] + v["be"]).alias("be")),
-        lambda t: F.struct(
-            t["nl"].alias("nl"),
-            t["be"].alias("be"),
-            F.when(t["nl"] + t["be"] != 0, t["nl"] + t["be"]).otherwise(fallback).alias("total"),
-        ),
+        nodes, lambda n: F.struct(_by_country(_countries(n)).alias("c"), _count(n).alias("own"))
     )
 
+    def totals(parts: Column) -> Column:
+        summed = F.aggregate(
+            parts,
+            _pair(F.lit(0), F.lit(0)),
+            lambda t, p: _pair(t["nl"] + p["c"]["nl"], t["be"] + p["c"]["be"]),
+        )
+        # nothing by country: the first positive count, or whatever the last node says
+        positive = F.get(F.filter(parts, lambda p: p["own"] > 0), 0)["own"]
+        fallback = F.coalesce(positive, F.element_at(parts, -1)["own"])
+
+        def with_total(t: Column) -> Column:
+            both = t["nl"] + t["be"]
+            return F.struct(
+                t["nl"].alias("nl"),
+                t["be"].alias("be"),
+                F.when(both != 0, both).otherwise(fallback).alias("total"),
+            )
+
+        return _let(summed, with_total)
+
+    return _let(per_node, totals)
+
 
 def country_visits(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Add visits_nl, visits_be and visits_total read from the JSON text."""
@@ -110,20 +125,16 @@ def daily_series(df: DataFrame, payload: str = "payload") -> DataFrame:
         names = ("day", "date", "timestamp")
         return iso_day(F.coalesce(*[F.nullif(e[n], F.lit("")) for n in names]))
 
-    def visits_of(e: Column) -> Column:
-        v = _visits(e)
-        # an entry may still carry its own count
-        own = F.coalesce(*[e[k].cast("bigint") for k in ("total", "value", "count")], F.lit(0).cast("bigint"))
-        return F.struct(
-            v["nl"].alias("nl"), v["be"].alias("be"),
-            F.when(v["total"] == 0, own).otherwise(v["total"]).alias("total"),
-        )
+    def own_count(e: Column) -> Column:
+        """An entry may carry its own count when its countries say nothing."""
+        return F.coalesce(*[e[k] for k in VISIT_COUNT_KEYS[:3]], F.lit(0.0)).cast("bigint")
+
+    def placed(e: Column, i: Column) -> Column:
+        return F.struct(day_of(e).alias("day"), i.alias("pos"), _visits(e).alias("v"), own_count(e).alias("own"))
 
     parsed = df.withColumn("_doc", F.from_json(F.col(payload), DAILY_PAYLOAD))
-    placed = F.transform(
-        entries, lambda e, i: F.struct(day_of(e).alias("day"), i.alias("pos"), visits_of(e).alias("v"))
-    )
-    parsed = parsed.withColumn("_e", F.array_sort(F.filter(placed, lambda e: e["day"].isNotNull())))
+    dated = F.filter(F.transform(entries, placed), lambda e: e["day"].isNotNull())
+    parsed = parsed.withColumn("_e", F.array_sort(dated))
     lasts = F.filter(
         F.col("_e"),
         lambda e, i: F.coalesce(F.get(F.col("_e"), i + 1)["day"] != e["day"], F.lit(True)),
@@ -133,5 +144,5 @@ def daily_series(df: DataFrame, payload: str = "payload") -> DataFrame:
         F.col("_d.day").alias("day"),
         F.col("_d.v.nl").alias("visits_nl"),
         F.col("_d.v.be").alias("visits_be"),
-        F.col("_d.v.total").alias("visits_total"),
+        F.when(F.col("_d.v.total") == 0, F.col("_d.own")).otherwise(F.col("_d.v.total")).alias("visits_total"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillmetrics.fixed import UNKNOWN_CATALOG_PRODUCT
@@ -68,28 +70,42 @@ def daily_units_by_offer(offers: DataFrame, orders: DataFrame, start: str, end:
     )
 
 
-def _with_periods(df: DataFrame, mode: str, reference_day: str, legacy_label: bool) -> DataFrame:
-    """Each row once per period: an array literal is exploded, nothing is joined."""
-    periods = period_array(mode, F.lit(reference_day).cast("date"), legacy_label)
+def _periods(mode: str, reference_days: str | Sequence[str], legacy_label: bool = False) -> Column:
+    """The wanted periods around one or several days, each once."""
+    days = [reference_days] if isinstance(reference_days, str) else reference_days
+    arrays = [period_array(mode, F.lit(d).cast("date"), legacy_label) for d in days]
+    return arrays[0] if len(arrays) == 1 else F.array_distinct(F.concat(*arrays))
+
+
+def with_periods(
+    df: DataFrame, mode: str, reference_days: str | Sequence[str], legacy_label: bool = False
+) -> DataFrame:
+    """Each row once per period: a constant array is exploded, nothing is joined."""
+    periods = _periods(mode, reference_days, legacy_label)
     return df.withColumn("_p", F.explode(periods)).select(*df.columns, "_p.*")
 
 
-def _in_some_period(day: Column, mode: str, reference_day: str) -> Column:
-    """Whether a day falls into any wanted period, to read only those days."""
-    periods = period_array(mode, F.lit(reference_day).cast("date"))
-    return F.exists(periods, lambda p: day.between(p["start_date"], p["end_date"]))
+def in_periods(df: DataFrame, day: str, mode: str, reference_days: str | Sequence[str], legacy_label: bool = False) -> DataFrame:
+    """Rows whose day lies in a wanted period, once per such period."""
+    inside = lambda p: F.col(day).between(p["start_date"], p["end_date"])
+    matching = F.filter(_periods(mode, reference_days, legacy_label), inside)
+    return df.withColumn("_p", F.explode(matching)).select(*df.columns, "_p.*")
+
+
+def _any_period(df: DataFrame, day: str, mode: str, reference_days: str | Sequence[str]) -> DataFrame:
+    """Rows whose day lies in any wanted period, each once."""
+    return df.filter(
+        F.exists(_periods(mode, reference_days), lambda p: F.col(day).between(p["start_date"], p["end_date"]))
+    )
 
 
 def _units_per_period(
-    offers: DataFrame, orders: DataFrame, mode: str, reference_day: str, legacy_label: bool
+    offers: DataFrame, orders: DataFrame, mode: str, reference_days: str | Sequence[str], legacy_label: bool
 ) -> DataFrame:
     """Units per offer for every period from one scan of the orders."""
-    wanted_days = orders.select("ean", "quantity", _order_day(orders).alias("_day")).filter(
-        _in_some_period(F.col("_day"), mode, reference_day)
-    )
-    dated = _with_periods(wanted_days, mode, reference_day, legacy_label)
+    dated = orders.select("ean", "quantity", _order_day(orders).alias("_day"))
     per_ean = (
-        dated.filter(F.col("_day").between(F.col("start_date"), F.col("end_date")))
+        in_periods(dated, "_day", mode, reference_days, legacy_label)
         .groupBy("ean", "period_type", "period_label")
         .agg(F.sum("quantity").alias("_units"))
     )
@@ -104,18 +120,20 @@ def conversion_metrics(
     orders: DataFrame,
     visits: DataFrame,
     mode: str,
-    reference_day: str,
+    reference_days: str | Sequence[str],
     legacy_label: bool = False,
 ) -> DataFrame:
     """One row per offer and period with visits, orders and conversion.
 
     ``visits``: offer_id, period_type and the three visit counts, one row per
-    offer and period type. Offers without visits or orders show 0.
+    offer and period type; with a period_label as well when the periods of
+    several days are wanted. Offers without visits or orders show 0.
     """
-    catalog = _with_periods(offer_catalog(offers, costs), mode, reference_day, legacy_label)
-    units = _units_per_period(offers, orders, mode, reference_day, legacy_label)
-    counted = visits.select("offer_id", "period_type", "visits_nl", "visits_be", "visits_total")
-    joined = catalog.join(counted, ["offer_id", "period_type"], "left").join(
+    catalog = with_periods(offer_catalog(offers, costs), mode, reference_days, legacy_label)
+    units = _units_per_period(offers, orders, mode, reference_days, legacy_label)
+    visit_keys = [c for c in ("offer_id", "period_type", "period_label") if c in visits.columns]
+    counted = visits.select(*visit_keys, "visits_nl", "visits_be", "visits_total")
+    joined = catalog.join(counted, visit_keys, "left").join(
         units, ["offer_id", "period_type", "period_label"], "left"
     )
     zero = F.lit(0)
@@ -140,7 +158,7 @@ def conversion_daily(
     orders: DataFrame,
     daily_visits: DataFrame,
     mode: str,
-    reference_day: str,
+    reference_days: str | Sequence[str],
     legacy_label: bool = False,
 ) -> DataFrame:
     """One row per offer, day and period for days inside the period.
@@ -149,23 +167,18 @@ def conversion_daily(
     offer and day.
     """
     catalog = offer_catalog(offers, costs)
-    per_ean_day = (
-        orders.select("ean", "quantity", _order_day(orders).alias("day"))
-        .filter(_in_some_period(F.col("day"), mode, reference_day))
-        .groupBy("ean", "day")
-        .agg(F.sum("quantity").alias("_units"))
-    )
+    dated = orders.select("ean", "quantity", _order_day(orders).alias("day"))
+    wanted_days = _any_period(dated, "day", mode, reference_days)
+    per_ean_day = wanted_days.groupBy("ean", "day").agg(F.sum("quantity").alias("_units"))
     wanted = offers.filter(F.col("offer_id").isNotNull()).select("offer_id", "ean")
     units = (
         with_lookups(wanted, "ean", per_ean_day, how="inner", spread_by=["offer_id"])
         .groupBy("offer_id", "day")
         .agg(F.sum("_units").alias("orders"))
     )
-    wanted_visits = daily_visits.filter(_in_some_period(F.col("day"), mode, reference_day))
+    wanted_visits = _any_period(daily_visits, "day", mode, reference_days)
     points = wanted_visits.join(catalog, "offer_id").join(units, ["offer_id", "day"], "left")
-    clipped = _with_periods(points, mode, reference_day, legacy_label).filter(
-        F.col("day").between(F.col("start_date"), F.col("end_date"))
-    )
+    clipped = in_periods(points, "day", mode, reference_days, legacy_label)
     filled = clipped.select(
         "offer_id",
         "product_name",

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from tillmetrics.fixed import SALES_ALIASES, UNKNOWN_SALES_PRODUCT, VAT_DIVISOR, WEBSHOP_SALES_ALIASES
 from tillmetrics.functions.flags import discount_flag
 from tillmetrics.functions.names import pick
 from tillmetrics.functions.num import rounded, strip_to_number, whole_number
 
+SCIENTIFIC = r"^-?[0-9.]+E-?[0-9]+$"
+
 READ_OUT = [
     "product_name", "ean", "units_sold", "revenue", "revenue_ex_vat", "net_selling_price",
     "selling_price", "original_price", "discount_used_pct", "cogs", "estimated_ad_cost",
@@ -38,10 +41,14 @@ def normalized_sales(df: DataFrame, channel: str = "marketplace") -> DataFrame:
         return None if name is None else F.col(f"`{name}`")
 
     def number(target: str, default: Column | float = 0.0) -> Column:
-        column = found(target)
-        if column is None:
+        name = column_for(df, target, channel)
+        if name is None:
             return default if isinstance(default, Column) else F.lit(default)
-        return strip_to_number(column) if channel == "webshop" else column.cast("double")
+        column = F.col(f"`{name}`")
+        if channel == "webshop" and isinstance(df.schema[name].dataType, StringType):
+            # numbers that Spark wrote may read 1.5E7, which must not lose its E
+            return F.when(column.rlike(SCIENTIFIC), column.try_cast("double")).otherwise(strip_to_number(column))
+        return column.cast("double")
 
     def or_zero(column: Column) -> Column:
         return F.coalesce(column, F.lit(0.0))
