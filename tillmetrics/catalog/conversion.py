@@ -143,7 +143,7 @@ def _periods_sql(days: list[str]) -> str:
             f"{monday} as start_date, {monday} + 6 as end_date"
         )
         rows.append(f"select 'MONTH', strftime({d}, '%Y-%m'), {first}, last_day({d})")
-    return "periods as (" + " union all ".join(rows) + ")"
+    return "periods as (" + " union ".join(rows) + ")"
 
 
 _RATE = """cast(case when visits_total > 0

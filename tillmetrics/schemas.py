@@ -56,7 +56,8 @@ PRODUCT = (
     "id:string, title:string, variants:array<struct<id:string, title:string, sku:string, "
     "price:string, compare_at_price:string, inventory_quantity:int, updated_at:string>>"
 )
-PRODUCT_FILE = f"products array<struct<{PRODUCT}>>, " + PRODUCT.replace("id:string, title:string, variants:", "id string, title string, variants ", 1)
+PRODUCT_LIST = f"array<struct<{PRODUCT}>>"
+PRODUCT_FILE = f"products {PRODUCT_LIST}"
 INSIGHTS_DOCUMENT = "offer_id string, period_type string, payload string"
 
 _COUNTS = "total:double, value:double, count:double, visits:double, numberOfVisits:double"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping
 from functools import reduce
 
@@ -48,7 +49,8 @@ def marketplace_costs(spark: SparkSession, path: str) -> DataFrame:
     header = lines.filter(F.trim("line") != "").first()
     if header is None:
         raise ValueError(f"no header line in {path}")
-    names = [plain_header(h) or f"_{i}" for i, h in enumerate(header["line"].lstrip("﻿").split(","))]
+    titles = next(csv.reader([header["line"].lstrip("\ufeff")]))
+    names = [plain_header(t) or f"_{i}" for i, t in enumerate(titles)]
     schema = ", ".join(f"`{n}` string" for n in names)
     rows = (
         lines.filter((F.trim("line") != "") & (F.col("line") != F.lit(header["line"])))

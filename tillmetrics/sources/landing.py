@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillmetrics import schemas
@@ -26,12 +28,14 @@ def marketplace_order_documents(
     return first_seen(documents)
 
 
-def first_seen(documents: DataFrame) -> DataFrame:
-    """Each order id once, first change date wins; documents without id go."""
+def first_seen(documents: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+    """Each order id once, first change date wins; documents without id go.
+
+    ``ties`` order documents of one change date; without them their text does.
+    """
     named = documents.filter(F.coalesce(F.col("orderId"), F.lit("")) != "")
-    return first_per_key(
-        named, ["orderId"], F.col("change_date"), F.col("orderPlacedDateTime"), F.xxhash64("orderItems")
-    )
+    rest = [F.col(c) for c in ties] or [F.to_json(F.struct("orderItems"))]
+    return first_per_key(named, ["orderId"], F.col("change_date"), F.col("orderPlacedDateTime"), *rest)
 
 
 def marketplace_orders(
@@ -67,12 +71,14 @@ def insights(spark: SparkSession, path: str) -> DataFrame:
 
 
 def products(spark: SparkSession, path: str) -> DataFrame:
-    """Products from ``{"products": [...]}`` files or bare arrays of products."""
-    rows = spark.read.schema(schemas.PRODUCT_FILE).option("multiLine", True).json(path)
-    own = F.array(F.struct("id", "title", "variants"))
-    listed = F.when(
-        F.col("products").isNull() & F.coalesce("id", "title").isNotNull(), own
-    ).otherwise(F.col("products"))
-    return rows.select(F.explode(listed).alias("p")).select("p.*")
+    """Products from files that hold one JSON document each."""
+    return products_from_text(spark.read.text(path, wholetext=True), "value")
 
 
+def products_from_text(df: DataFrame, column: str) -> DataFrame:
+    """Products from ``{"products": [...]}`` texts or from bare lists of products."""
+    listed = F.coalesce(
+        F.from_json(F.col(column), schemas.PRODUCT_FILE)["products"],
+        F.from_json(F.col(column), schemas.PRODUCT_LIST),
+    )
+    return df.select(F.explode(listed).alias("p")).select("p.*")
