@@ -14,7 +14,7 @@ def sort_keys(df: DataFrame, by: str, descending: bool) -> list[Column]:
     if isinstance(kind, T.StringType):
         key = F.lower(F.coalesce(key, F.lit("")))
     first = key.desc_nulls_last() if descending else key.asc_nulls_last()
-    ties = [F.col(c).asc_nulls_last() for c in df.columns if c != by]
+    ties = [F.col(c).asc_nulls_last() for c in df.columns]
     return [first, *ties]
 
 
