@@ -7,8 +7,6 @@ exploded before its numbers are known.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillmetrics.fixed import VISIT_COUNT_KEYS
@@ -16,14 +14,14 @@ from tillmetrics.functions.dates import iso_day
 from tillmetrics.schemas import DAILY_PAYLOAD, PERIOD_PAYLOAD
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), 0)
+def _list(value: Column) -> Column:
+    """The array; empty when there is none."""
+    return F.coalesce(value, F.array())
 
 
-def _list(value: Column) -> Column:
-    """The array without NULL elements; empty when there is no array."""
-    return F.filter(F.coalesce(value, F.array()), lambda x: x.isNotNull())
+def _both(one: Column, other: Column) -> Column:
+    """Two arrays in a row. Mostly one of them is absent, which costs nothing here."""
+    return F.when(one.isNull(), _list(other)).when(other.isNull(), one).otherwise(F.concat(one, other))
 
 
 def _count(node: Column) -> Column:
@@ -33,17 +31,19 @@ def _count(node: Column) -> Column:
 
 def _countries(node: Column) -> Column:
     """Country entries of a node: its own lists and those one level down."""
+    own = _both(node["countries"], node["country"])
     subs = F.concat(*[_list(node[k]) for k in ("insights", "items", "results")])
-    nested = F.flatten(F.transform(subs, lambda s: F.concat(_list(s["countries"]), _list(s["country"]))))
-    return F.concat(_list(node["countries"]), _list(node["country"]), nested)
+    nested = F.flatten(F.transform(subs, lambda s: _both(s["countries"], s["country"])))
+    has_subs = F.coalesce(node["insights"], node["items"], node["results"]).isNotNull()
+    return F.when(has_subs, F.concat(own, nested)).otherwise(own)
 
 
 def _pair(nl: Column, be: Column) -> Column:
     return F.struct(nl.cast("bigint").alias("nl"), be.cast("bigint").alias("be"))
 
 
-def _by_country(entries: Column) -> Column:
-    """Visits of NL and BE over country entries."""
+def _by_country(entries: Column, start: Column | None = None) -> Column:
+    """Visits of NL and BE over country entries, added to ``start``."""
 
     def add(total: Column, entry: Column) -> Column:
         code = F.upper(F.coalesce(F.nullif(entry["countryCode"], F.lit("")), entry["country"], F.lit("")))
@@ -53,7 +53,7 @@ def _by_country(entries: Column) -> Column:
             total["be"] + F.when(code == "BE", n).otherwise(0),
         )
 
-    return F.aggregate(entries, _pair(F.lit(0), F.lit(0)), add)
+    return F.aggregate(entries, _pair(F.lit(0), F.lit(0)) if start is None else start, add)
 
 
 def _plain_node(node: Column) -> Column:
@@ -63,33 +63,27 @@ def _plain_node(node: Column) -> Column:
 
 
 def _visits(node: Column) -> Column:
-    """Struct of nl, be and total for one payload or one day of a series."""
-    nodes = F.concat(F.array(_plain_node(node)), _list(node["offerInsights"]))
-    per_node = F.transform(
-        nodes, lambda n: F.struct(_by_country(_countries(n)).alias("c"), _count(n).alias("own"))
-    )
+    """Struct of nl, be and the count to fall back on, for a payload or one day.
 
-    def totals(parts: Column) -> Column:
-        summed = F.aggregate(
-            parts,
-            _pair(F.lit(0), F.lit(0)),
-            lambda t, p: _pair(t["nl"] + p["c"]["nl"], t["be"] + p["c"]["be"]),
-        )
-        # nothing by country: the first positive count, or whatever the last node says
-        positive = F.get(F.filter(parts, lambda p: p["own"] > 0), 0)["own"]
-        fallback = F.coalesce(positive, F.element_at(parts, -1)["own"])
-
-        def with_total(t: Column) -> Column:
-            both = t["nl"] + t["be"]
-            return F.struct(
-                t["nl"].alias("nl"),
-                t["be"].alias("be"),
-                F.when(both != 0, both).otherwise(fallback).alias("total"),
-            )
+    The fallback is the first positive count of the payload and its wrapped
+    nodes, or else whatever the last of them says.
+    """
+    wrapped = node["offerInsights"]
+    nodes = F.concat(F.array(_plain_node(node)), wrapped)
+    by_country = F.aggregate(
+        nodes, _pair(F.lit(0), F.lit(0)), lambda total, n: _by_country(_countries(n), total)
+    )
+    counts = F.transform(nodes, _count)
+    fallback = F.coalesce(F.get(F.filter(counts, lambda x: x > 0), 0), F.element_at(counts, -1))
+    return F.struct(
+        F.when(wrapped.isNull(), _by_country(_countries(node))).otherwise(by_country).alias("c"),
+        F.when(wrapped.isNull(), _count(node)).otherwise(fallback).alias("own"),
+    )
 
-        return _let(summed, with_total)
 
-    return _let(per_node, totals)
+def _total(visits: str) -> Column:
+    both = F.col(f"{visits}.c.nl") + F.col(f"{visits}.c.be")
+    return F.when(both != 0, both).otherwise(F.col(f"{visits}.own"))
 
 
 def country_visits(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -98,9 +92,9 @@ def country_visits(df: DataFrame, payload: str = "payload") -> DataFrame:
     parsed = parsed.withColumn("_v", _visits(F.col("_doc")))
     return parsed.select(
         *df.columns,
-        F.col("_v.nl").alias("visits_nl"),
-        F.col("_v.be").alias("visits_be"),
-        F.col("_v.total").alias("visits_total"),
+        F.col("_v.c.nl").alias("visits_nl"),
+        F.col("_v.c.be").alias("visits_be"),
+        _total("_v").alias("visits_total"),
     )
 
 
@@ -113,8 +107,7 @@ def daily_series(df: DataFrame, payload: str = "payload") -> DataFrame:
     doc = F.col("_doc")
     wrapped = F.flatten(
         F.transform(
-            _list(doc["offerInsights"]),
-            lambda o: F.concat(_list(o["periods"]), _list(o["days"]), _list(o["insights"])),
+            _list(doc["offerInsights"]), lambda o: F.concat(*[_list(o[k]) for k in ("periods", "days", "insights")])
         )
     )
     entries = F.concat(
@@ -134,7 +127,7 @@ def daily_series(df: DataFrame, payload: str = "payload") -> DataFrame:
 
     parsed = df.withColumn("_doc", F.from_json(F.col(payload), DAILY_PAYLOAD))
     dated = F.filter(F.transform(entries, placed), lambda e: e["day"].isNotNull())
-    parsed = parsed.withColumn("_e", F.array_sort(dated))
+    parsed = parsed.withColumn("_e", F.sort_array(dated))
     lasts = F.filter(
         F.col("_e"),
         lambda e, i: F.coalesce(F.get(F.col("_e"), i + 1)["day"] != e["day"], F.lit(True)),
@@ -142,7 +135,7 @@ def daily_series(df: DataFrame, payload: str = "payload") -> DataFrame:
     return parsed.select(*df.columns, F.explode(lasts).alias("_d")).select(
         *df.columns,
         F.col("_d.day").alias("day"),
-        F.col("_d.v.nl").alias("visits_nl"),
-        F.col("_d.v.be").alias("visits_be"),
-        F.when(F.col("_d.v.total") == 0, F.col("_d.own")).otherwise(F.col("_d.v.total")).alias("visits_total"),
+        F.col("_d.v.c.nl").alias("visits_nl"),
+        F.col("_d.v.c.be").alias("visits_be"),
+        F.when(_total("_d.v") == 0, F.col("_d.own")).otherwise(_total("_d.v")).alias("visits_total"),
     )
