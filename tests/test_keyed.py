@@ -122,13 +122,33 @@ def test_stored_table_only_rewrites_touched_buckets(spark):
     assert {x for x in before if x[0] == bucket}.isdisjoint(after)
 
 
+def test_a_load_leaves_other_months_alone(spark, rows):
+    schema = "id string, placed string, v int"
+    stored = KeyedTable(spark, scratch_path(spark, "t"), schema, ["id"], buckets=2, within="left(placed, 7)")
+    months = [(f"{m}-{i}", f"2026-{m:02d}-05T10:00:00Z", i) for m in (1, 2, 3) for i in range(6)] + [("x", None, 0)]
+    stored.upsert(frame(spark, months, schema), ["v"])
+
+    def files():
+        seen = spark.read.parquet(stored.path).select("part", F.input_file_name().alias("f")).distinct()
+        return {(r.part, r.f) for r in seen.collect()}
+
+    before = files()
+    stored.upsert(frame(spark, [(f"3-{i}", "2026-03-05T10:00:00Z", 100 + i) for i in range(6)], schema), ["v"])
+    after = files()
+    assert {f for p, f in before if p != "2026-03"} == {f for p, f in after if p != "2026-03"}
+    got = {r.id: r.v for r in stored.read().collect()}
+    assert len(got) == 19 and got["3-5"] == 105 and got["2-5"] == 5
+    plan = stored._stored().filter("part = '2026-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan
+
+
 def test_interrupted_load_is_repaired(spark, rows):
     stored = KeyedTable(spark, scratch_path(spark, "t"), SCHEMA, ["k"], buckets=4)
     stored.upsert(frame(spark, [("a", 1, 1.0), ("b", 1, 1.0)]), ["n"])
     # the finished copy of a load that died before it was moved in
-    late = frame(spark, [("a", 2, 2.0)]).withColumn("bucket", bucket_of(["k"], 4))
+    late = frame(spark, [("a", 2, 2.0)]).select("*", *stored._place())
     same = stored._stored().join(late.select("bucket").distinct(), "bucket").filter("k <> 'a'")
-    late.unionByName(same.select(*late.columns)).write.partitionBy("bucket").parquet(stored.pending)
+    late.unionByName(same.select(*late.columns)).write.partitionBy("part", "bucket").parquet(stored.pending)
     stored.repair()
     assert rows(stored.read()) == [("a", 2, 2.0), ("b", 1, 1.0)]
     assert not stored._exists(stored.pending)

@@ -165,6 +165,32 @@ def p11(spark, sf):
     return staging.marketplace_orders(table(spark, sf, "mp_orders"))
 
 
+@query(
+    "p11_staged_offers",
+    with_tables("mp_offers", more=STAGED_OFFERS) + "select * from of_staged",
+)
+def p11_offers(spark, sf):
+    return staging.marketplace_offers(table(spark, sf, "mp_offers"))
+
+
+@query(
+    "p11_staged_webshop_orders",
+    with_tables("ws_orders") + "select * from ws_orders where order_id is not null and total_price >= 0",
+)
+def p11_webshop_orders(spark, sf):
+    return staging.webshop_orders(table(spark, sf, "ws_orders"))
+
+
+@query(
+    "p11_staged_webshop_items",
+    with_tables("ws_items")
+    + """select * from ws_items where line_item_id is not null and order_id is not null
+    and quantity > 0 and price >= 0""",
+)
+def p11_webshop_items(spark, sf):
+    return staging.webshop_items(table(spark, sf, "ws_items"))
+
+
 @query(
     "p12_line_item_base",
     V2_WITH

@@ -93,15 +93,20 @@ def leaders(sales: DataFrame) -> DataFrame:
 
 
 def filter_domains(sales: DataFrame) -> DataFrame:
-    """Choices the filters offer: weeks, products and the date range, as rows."""
-    weeks = sales.select(F.lit("week").alias("kind"), F.col("week_number").cast("string").alias("value"))
-    products = sales.select(F.lit("product").alias("kind"), F.col("product_name").alias("value"))
-    bounds = sales.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).selectExpr(
-        "stack(2, 'min_date', string(lo), 'max_date', string(hi)) as (kind, value)"
+    """Choices the filters offer: weeks, products and the date range, as rows.
+
+    The sales are read once and shrink to weeks x products before they are
+    taken apart.
+    """
+    seen = sales.groupBy("week_number", "product_name").agg(
+        F.min("order_date").alias("lo"), F.max("order_date").alias("hi")
     )
-    return (
-        weeks.filter("value is not null")
-        .distinct()
-        .unionByName(products.filter("value <> ''").distinct())
-        .unionByName(bounds)
+    values = seen.selectExpr(
+        "stack(3, 'week', string(week_number), 'product', product_name, 'date', '') as (kind, value)", "lo", "hi"
     )
+    domains = values.groupBy("kind", "value").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return domains.selectExpr(
+        """inline(if(kind = 'date',
+            array(struct('min_date' as kind, string(lo) as value), struct('max_date' as kind, string(hi) as value)),
+            array(struct(kind as kind, value as value))))"""
+    ).filter("value <> ''")

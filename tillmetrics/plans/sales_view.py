@@ -11,6 +11,7 @@ from tillmetrics.fixed import SALES_ALIASES, UNKNOWN_SALES_PRODUCT, VAT_DIVISOR,
 from tillmetrics.functions.flags import discount_flag
 from tillmetrics.functions.names import pick
 from tillmetrics.functions.num import rounded, strip_to_number, whole_number
+from tillmetrics.operators.lookups import with_lookups
 
 SCIENTIFIC = r"^-?[0-9.]+E-?[0-9]+$"
 
@@ -119,6 +120,6 @@ def filtered(
     if end:
         sales = sales.filter(F.col("order_date") <= F.lit(end).cast("date"))
     if isinstance(products, DataFrame):
-        return sales.join(products.select("product_name").distinct(), "product_name", "left_semi")
+        return with_lookups(sales, "product_name", products.select("product_name").distinct(), how="left_semi")
     names = list(products or [])
     return sales.filter(F.col("product_name").isin(names)) if names else sales
