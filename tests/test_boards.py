@@ -174,5 +174,5 @@ def test_surrogate_keys_tell_null_from_text(spark):
 def test_currency(spark):
     rates = spark.createDataFrame([("USD", 0.5)], "currency string, rate double")
     df = spark.createDataFrame([(10.0, "USD"), (10.0, "EUR"), (10.0, "XXX")], "a double, c string")
-    got = [r[0] for r in df.select(unified.convert_currency(F.col("a"), F.col("c"), rates)).collect()]
-    assert got == [5.0, 10.0, 10.0]
+    got = {r.c: r.eur for r in unified.convert_currency(df, "a", "c", rates, into="eur").collect()}
+    assert got == {"USD": 5.0, "EUR": 10.0, "XXX": 10.0}

@@ -110,8 +110,8 @@ def test_stored_table_only_rewrites_touched_buckets(spark):
     stored.upsert(frame(spark, [(str(i), 1, float(i)) for i in range(50)]), ["n"])
 
     def files_per_bucket():
-        seen = spark.read.parquet(stored.path).select("bucket", F.input_file_name().alias("f")).distinct()
-        return {(r.bucket, r.f) for r in seen.collect()}
+        seen = spark.read.parquet(stored.path).select("key_bucket", F.input_file_name().alias("f")).distinct()
+        return {(r.key_bucket, r.f) for r in seen.collect()}
 
     before = files_per_bucket()
     change = frame(spark, [("7", 2, -7.0)])
@@ -129,8 +129,8 @@ def test_a_load_leaves_other_months_alone(spark, rows):
     stored.upsert(frame(spark, months, schema), ["v"])
 
     def files():
-        seen = spark.read.parquet(stored.path).select("part", F.input_file_name().alias("f")).distinct()
-        return {(r.part, r.f) for r in seen.collect()}
+        seen = spark.read.parquet(stored.path).select("key_part", F.input_file_name().alias("f")).distinct()
+        return {(r.key_part, r.f) for r in seen.collect()}
 
     before = files()
     stored.upsert(frame(spark, [(f"3-{i}", "2026-03-05T10:00:00Z", 100 + i) for i in range(6)], schema), ["v"])
@@ -138,8 +138,8 @@ def test_a_load_leaves_other_months_alone(spark, rows):
     assert {f for p, f in before if p != "2026-03"} == {f for p, f in after if p != "2026-03"}
     got = {r.id: r.v for r in stored.read().collect()}
     assert len(got) == 19 and got["3-5"] == 105 and got["2-5"] == 5
-    plan = stored._stored().filter("part = '2026-01'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(part" in plan
+    plan = stored._stored().filter("key_part = '2026-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(key_part" in plan
 
 
 def test_interrupted_load_is_repaired(spark, rows):
@@ -147,8 +147,8 @@ def test_interrupted_load_is_repaired(spark, rows):
     stored.upsert(frame(spark, [("a", 1, 1.0), ("b", 1, 1.0)]), ["n"])
     # the finished copy of a load that died before it was moved in
     late = frame(spark, [("a", 2, 2.0)]).select("*", *stored._place())
-    same = stored._stored().join(late.select("bucket").distinct(), "bucket").filter("k <> 'a'")
-    late.unionByName(same.select(*late.columns)).write.partitionBy("part", "bucket").parquet(stored.pending)
+    same = stored._stored().join(late.select("key_bucket").distinct(), "key_bucket").filter("k <> 'a'")
+    late.unionByName(same.select(*late.columns)).write.partitionBy("key_part", "key_bucket").parquet(stored.pending)
     stored.repair()
     assert rows(stored.read()) == [("a", 2, 2.0), ("b", 1, 1.0)]
     assert not stored._exists(stored.pending)

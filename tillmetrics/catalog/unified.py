@@ -217,6 +217,4 @@ def x11(spark, sf):
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .selectExpr("c_custkey", "c_acctbal", "n_name as currency")
     )
-    return accounts.withColumn(
-        "amount_eur", unified.convert_currency(F.col("c_acctbal"), F.col("currency"), rates)
-    )
+    return unified.convert_currency(accounts, "c_acctbal", "currency", rates, into="amount_eur")

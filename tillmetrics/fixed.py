@@ -15,6 +15,11 @@ UNKNOWN_SALES_PRODUCT = "(Unknown)"
 UNKNOWN_CONVERSION_PRODUCT = "Unknown"
 SINGLE_VARIANT_TITLE = "Default Title"
 
+# --- channel tags, and the word that stands for NULL in surrogate keys --------
+MARKETPLACE = "bol"
+WEBSHOP = "shopify"
+NULL_KEY_WORD = "_dbt_utils_surrogate_key_null_"
+
 # --- words that mean "discount applied" -------------------------------------
 DISCOUNT_YES = ["yes", "y", "true", "1", "with_discount"]
 

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillmetrics.fixed import MARKETPLACE, NULL_KEY_WORD, WEBSHOP
 from tillmetrics.functions.dates import week_start
 from tillmetrics.functions.num import rounded
 from tillmetrics.operators.exact import exact_agg, mean, total
 from tillmetrics.operators.lookups import with_lookups
 
-MARKETPLACE, WEBSHOP = "bol", "shopify"
-
-
 def surrogate_key(*columns: str) -> Column:
     """md5 over the columns as text, NULL written as a fixed word."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("_dbt_utils_surrogate_key_null_")) for c in columns]
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_KEY_WORD)) for c in columns]
     return F.md5(F.concat_ws("-", *parts))
 
 
@@ -99,15 +97,20 @@ def product_performance(order_lines: DataFrame, products: DataFrame) -> DataFram
     )
 
 
-def convert_currency(amount: Column, currency: Column, rates: DataFrame, to: str = "EUR") -> Column:
-    """Amount in the target currency; unlisted currencies stay as they are.
+def convert_currency(
+    df: DataFrame, amount: str, currency: str, rates: DataFrame, into: str, to: str = "EUR"
+) -> DataFrame:
+    """Add column ``into``: the amount in the target currency.
 
-    ``rates``: currency, rate. The list of currencies is short by nature and
-    comes in as one map.
+    ``rates``: currency, rate. Amounts already in the target currency and those
+    without a rate stay as they are.
     """
-    table = rates.agg(F.map_from_entries(F.collect_list(F.struct("currency", "rate")))).scalar()
-    rate = F.coalesce(F.try_element_at(table, currency), F.lit(1.0))
-    return F.when(currency == to, amount).otherwise(amount * rate)
+    rate = rates.select(F.col("currency").alias(currency), F.col("rate").alias("_rate"))
+    priced = with_lookups(df, currency, rate)
+    converted = F.col(amount) * F.coalesce(F.col("_rate"), F.lit(1.0))
+    return priced.select(
+        *df.columns, F.when(F.col(currency) == to, F.col(amount)).otherwise(converted).alias(into)
+    )
 
 
 def channel_split(orders: DataFrame) -> DataFrame:
