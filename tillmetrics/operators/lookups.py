@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_KEYS_TRACKED = 50
+# above this size the key counts come from every hundredth row
+SKETCH_ALL_BELOW_BYTES = 1 << 30
+SKETCH_SHARE = 0.01
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -16,33 +21,26 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
-def hot_keys(df: DataFrame, key: str, slices: int) -> Column:
-    """Map from each hot key to the number of slices it deserves.
+def hot_keys(df: DataFrame, key: str, slices: int) -> dict[object, int]:
+    """Hot keys and the number of slices each deserves.
 
     A key is hot when it holds more than one ``slices``-th of the rows. The
     counts come from a sketch of bounded size that is merged from per-task
-    partials and reads the key column only. The counts may be approximate: they
-    decide how rows spread, never which rows match.
+    partials and reads the key column only; of a large table it sees a share of
+    the rows. So the counts are approximate, but they only decide how rows
+    spread: which rows match, and that all of them do, does not depend on them.
+
+    At most ``HOT_KEYS_TRACKED`` keys come back. They are fetched once, because
+    both sides of the join must be cut by the very same numbers.
     """
-    return (
-        df.filter(F.col(key).isNotNull())
-        .agg(
-            F.expr(f"approx_top_k(`{key}`, {HOT_KEYS_TRACKED})").alias("top"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .select(
-            F.map_from_entries(
-                F.transform(
-                    F.filter("top", lambda t: t["count"] * slices > F.col("n")),
-                    lambda t: F.struct(
-                        t["item"].alias("key"),
-                        F.ceil(t["count"] * slices / F.col("n")).cast("int").alias("slices"),
-                    ),
-                )
-            )
-        )
-        .scalar()
-    )
+    keys = df.select(key).filter(F.col(key).isNotNull())
+    if plan_bytes(keys) >= SKETCH_ALL_BELOW_BYTES:
+        keys = keys.sample(SKETCH_SHARE, seed=1)
+    found = keys.agg(
+        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")
+    ).first()
+    shares = {t["item"]: t["count"] * slices / found["n"] for t in found["top"] or []}
+    return {item: math.ceil(share) for item, share in shares.items() if share > 1}
 
 
 def with_lookups(
@@ -51,34 +49,45 @@ def with_lookups(
     *lookups: DataFrame,
     how: str = "left",
     spread_by: list[str] | None = None,
+    counts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``facts`` to each lookup on ``key``.
 
     A lookup that Spark estimates below ``spark.sql.autoBroadcastJoinThreshold``
     is joined plainly and Spark broadcasts it; nothing is hinted, so the check of
     its size is Spark's. Beyond that, hot keys are cut into slices: fact rows
-    of a hot key get a slice number from a hash of their own columns (the same
-    after a task is rerun), lookup rows of a hot key are repeated once per slice,
-    and all big lookups share the one shuffle on (key, slice). Keys that are
-    NULL match nothing and are spread the same way.
+    of a hot key get a slice number from a hash of their own columns
+    (``spread_by``, the same after a task is rerun), lookup rows of a hot key
+    are repeated once per slice, and all big lookups share the one shuffle on
+    (key, slice). Keys that are NULL match nothing and are spread the same way.
+
+    ``counts_from``: a cheaper table whose keys are distributed like those of
+    ``facts``, to find the hot keys in. A stream is joined without slices.
     """
     limit = broadcast_limit(facts)
     small = [t for t in lookups if plan_bytes(t) <= limit]
     big = [t for t in lookups if plan_bytes(t) > limit]
-    if big:
+    if big and not facts.isStreaming:
         slices = max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        hot = hot_keys(facts, key, slices)
-        share = F.coalesce(F.try_element_at(hot, F.col(key)), F.lit(1))
-        share = F.when(F.col(key).isNull(), F.lit(slices)).otherwise(share)
+        source = facts if counts_from is None else counts_from
+        copies = _copies(hot_keys(source, key, slices), key)
         row_hash = F.xxhash64(*(spread_by or facts.columns))
+        share = F.when(F.col(key).isNull(), F.lit(slices)).otherwise(copies)
         facts = facts.withColumn("_slice", F.pmod(row_hash, share).cast("int"))
         for table in big:
-            copies = F.coalesce(F.try_element_at(hot, F.col(key)), F.lit(1))
             sliced = table.filter(F.col(key).isNotNull()).withColumn(
                 "_slice", F.explode(F.sequence(F.lit(0), copies - 1))
             )
             facts = facts.join(sliced, [key, "_slice"], how)
-        facts = facts.drop("_slice")
-    for table in small:
+        facts, big = facts.drop("_slice"), []
+    for table in small + big:
         facts = facts.join(table, key, how)
     return facts
+
+
+def _copies(hot: dict[object, int], key: str) -> Column:
+    """Slices of the key of a row: one, unless it is hot."""
+    if not hot:
+        return F.lit(1)
+    table = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, F.col(key)), F.lit(1))

@@ -95,6 +95,7 @@ def webshop_profitability(items: DataFrame, orders: DataFrame, costs: DataFrame)
             "cogs as _cogs", "estimated_ad_cost as _ad_cost",
         ),
         spread_by=["line_item_id", "order_id"],
+        counts_from=items,
     )
     base = lines.selectExpr(
         "order_id",

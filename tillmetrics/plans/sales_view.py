@@ -120,6 +120,7 @@ def filtered(
     if end:
         sales = sales.filter(F.col("order_date") <= F.lit(end).cast("date"))
     if isinstance(products, DataFrame):
-        return with_lookups(sales, "product_name", products.select("product_name").distinct(), how="left_semi")
+        chosen = products.select("product_name").distinct()
+        return with_lookups(sales, "product_name", chosen, how="left_semi").select(*sales.columns)
     names = list(products or [])
     return sales.filter(F.col("product_name").isin(names)) if names else sales
