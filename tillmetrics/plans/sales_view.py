@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType
 from tillmetrics.fixed import SALES_ALIASES, UNKNOWN_SALES_PRODUCT, VAT_DIVISOR, WEBSHOP_SALES_ALIASES
 from tillmetrics.functions.flags import discount_flag
 from tillmetrics.functions.names import pick
-from tillmetrics.functions.num import rounded, strip_to_number, whole_number
+from tillmetrics.functions.num import select_rounded, strip_to_number, whole_number
 from tillmetrics.operators.lookups import with_lookups
 
 SCIENTIFIC = r"^-?[0-9.]+E-?[0-9]+$"
@@ -30,67 +30,85 @@ def column_for(df: DataFrame, target: str, channel: str = "marketplace") -> str
     return pick(df.columns, aliases)
 
 
-def normalized_sales(df: DataFrame, channel: str = "marketplace") -> DataFrame:
-    """Sixteen typed columns from whatever columns the relation has.
-
-    Names are resolved on the schema, so this is a single projection. Web-shop
-    numbers may carry currency text, which is stripped.
-    """
+def _typed(df: DataFrame, channel: str) -> DataFrame:
+    """The columns that were found, typed; NULL or a default for the others."""
 
     def found(target: str) -> Column | None:
         name = column_for(df, target, channel)
         return None if name is None else F.col(f"`{name}`")
 
-    def number(target: str, default: Column | float = 0.0) -> Column:
+    def number(target: str) -> Column:
         name = column_for(df, target, channel)
         if name is None:
-            return default if isinstance(default, Column) else F.lit(default)
+            return F.lit(None).cast("double")
         column = F.col(f"`{name}`")
         if channel == "webshop" and isinstance(df.schema[name].dataType, StringType):
             # numbers that Spark wrote may read 1.5E7, which must not lose its E
             return F.when(column.rlike(SCIENTIFIC), column.try_cast("double")).otherwise(strip_to_number(column))
         return column.cast("double")
 
-    def or_zero(column: Column) -> Column:
-        return F.coalesce(column, F.lit(0.0))
+    def text(target: str) -> Column:
+        column = found(target)
+        return (F.lit(None) if column is None else column).cast("string")
 
-    selling = number("selling_price")
-    original = number("original_price", selling if channel == "webshop" else 0.0)
-    net_selling = number("net_selling_price", selling / VAT_DIVISOR)
     moment = found("order_date")
-    moment = F.localtimestamp() if moment is None else moment.cast("timestamp_ntz")
-    product, key = found("product_name"), found("ean")
-    raw_week, raw_discount = found("week_number"), found("discount_applied")
+    flag = found("discount_applied")
+    numbers = [
+        "units_sold", "revenue", "net_margin_pct", "selling_price", "original_price", "cogs",
+        "estimated_ad_cost", "net_margin_eur", "net_selling_price", "discount_used_pct",
+    ]
+    return df.select(
+        text("product_name").alias("product_name"),
+        text("ean").alias("ean"),
+        text("week_number").alias("week_text"),
+        *[number(n).alias(n) for n in numbers],
+        (F.localtimestamp() if moment is None else moment.cast("timestamp_ntz")).alias("moment"),
+        (F.lit(False) if flag is None else discount_flag(flag)).alias("discount_applied"),
+    )
 
-    week = F.weekofyear(moment)
-    if raw_week is not None:
-        text = raw_week.cast("string")
-        digits = F.nullif(F.regexp_extract(text, r"(\d+)", 1), F.lit(""))
-        week = F.coalesce(whole_number(text), digits.try_cast("int"), week)
 
-    unknown = F.lit(UNKNOWN_SALES_PRODUCT)
-    return df.select(
-        (unknown if product is None else F.coalesce(product.cast("string"), unknown)).alias("product_name"),
-        (F.lit("") if key is None else F.coalesce(key.cast("string"), F.lit(""))).alias("ean"),
-        or_zero(number("units_sold")).alias("units_sold"),
-        or_zero(number("revenue")).alias("revenue"),
-        rounded(or_zero(number("units_sold")) * or_zero(net_selling), 2).alias("revenue_ex_vat"),
-        or_zero(net_selling).alias("net_selling_price"),
-        or_zero(selling).alias("selling_price"),
-        F.coalesce(F.nullif(original, F.lit(0.0)), selling, F.lit(0.0)).alias("original_price"),
-        F.when(
-            (original > 0) & (selling > 0),
-            rounded((original - selling) / F.nullif(original, F.lit(0.0)) * 100, 1),
-        )
-        .otherwise(or_zero(number("discount_used_pct")))
-        .alias("discount_used_pct"),
-        or_zero(number("cogs")).alias("cogs"),
-        or_zero(number("estimated_ad_cost")).alias("estimated_ad_cost"),
-        or_zero(number("net_margin_eur")).alias("net_margin_eur"),
-        F.greatest(F.lit(-100.0), F.least(F.lit(100.0), or_zero(number("net_margin_pct")))).alias("net_margin_pct"),
-        moment.cast("date").alias("order_date"),
-        week.cast("int").alias("week_number"),
-        (F.lit(False) if raw_discount is None else discount_flag(raw_discount)).alias("discount_applied"),
+def normalized_sales(df: DataFrame, channel: str = "marketplace") -> DataFrame:
+    """Sixteen typed columns from whatever columns the relation has.
+
+    Names are resolved on the schema, so this is two projections of one scan:
+    text to numbers first, then everything derived from them. Web-shop numbers
+    may carry currency text, which is stripped.
+    """
+    typed = _typed(df, channel)
+    # defaults of columns the relation does not have
+    if column_for(df, "original_price", channel) is None and channel == "webshop":
+        typed = typed.withColumn("original_price", F.col("selling_price"))
+    if column_for(df, "net_selling_price", channel) is None:
+        typed = typed.withColumn("net_selling_price", F.col("selling_price") / VAT_DIVISOR)
+    week_digits = F.nullif(F.regexp_extract("week_text", r"(\d+)", 1), F.lit("")).try_cast("int")
+    week = F.coalesce(whole_number(F.col("week_text")), week_digits, F.weekofyear("moment"))
+    weeks = typed.withColumn("week_number", week)
+    return select_rounded(
+        weeks,
+        [
+            f"coalesce(product_name, '{UNKNOWN_SALES_PRODUCT}') as product_name",
+            "coalesce(ean, '') as ean",
+            "coalesce(units_sold, 0D) as units_sold",
+            "coalesce(revenue, 0D) as revenue",
+            "coalesce(net_selling_price, 0D) as net_selling_price",
+            "coalesce(selling_price, 0D) as selling_price",
+            "coalesce(nullif(original_price, 0D), selling_price, 0D) as original_price",
+            "original_price > 0 and selling_price > 0 as _priced",
+            "coalesce(discount_used_pct, 0D) as _given_pct",
+            "coalesce(cogs, 0D) as cogs",
+            "coalesce(estimated_ad_cost, 0D) as estimated_ad_cost",
+            "coalesce(net_margin_eur, 0D) as net_margin_eur",
+            "greatest(-100D, least(100D, coalesce(net_margin_pct, 0D))) as net_margin_pct",
+            "date(moment) as order_date",
+            "week_number",
+            "discount_applied",
+        ],
+        {
+            "revenue_ex_vat": ("coalesce(units_sold, 0D) * coalesce(net_selling_price, 0D)", 2),
+            "_computed_pct": ("(original_price - selling_price) / nullif(original_price, 0D) * 100", 1),
+        },
+    ).selectExpr(
+        *[c if c != "discount_used_pct" else "if(_priced, _computed_pct, _given_pct) as discount_used_pct" for c in READ_OUT]
     )
 
 
