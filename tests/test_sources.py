@@ -128,7 +128,7 @@ def test_sales_view_week_texts_and_clamp(spark):
     assert got == [(7, 100.0, True), (12, -100.0, False), (13, 5.0, False), (2, 0.0, False)]
 
 
-@pytest.mark.parametrize("text, want", [("€ 1,234.50", 1234.5), ("1.5E7", 15000000.0), ("n/a", 0.0), (None, 0.0)])
+@pytest.mark.parametrize("text, want", [("€ 1,234.50", 1234.5), ("1.5E7", 15000000.0), ("NaN", 0.0), (" 7 ", 7.0), ("n/a", 0.0), (None, 0.0)])
 def test_webshop_money_text(spark, text, want):
     df = spark.createDataFrame([(text,)], "Revenue string")
     assert sales_view.normalized_sales(df, "webshop").first().revenue == want

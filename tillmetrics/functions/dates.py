@@ -17,7 +17,7 @@ def parse_day(text: Column) -> Column:
 
 def iso_day(text: Column) -> Column:
     """Calendar day written at the start of an ISO-8601 text, offset ignored."""
-    return F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd")).cast("date")
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(text, 1, 10).try_cast("date"))
 
 
 def week_start(day: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillmetrics.fixed import UNKNOWN_CONVERSION_PRODUCT
-from tillmetrics.functions.num import rounded
+from tillmetrics.functions.num import parsed, rounded
 from tillmetrics.operators.keyed import first_per_key
 
 TREND_PRODUCTS = 5
@@ -15,7 +15,7 @@ def normalize_rows(rows: DataFrame) -> DataFrame:
     """Typed conversion rows from all-text columns; blanks become 0 or a default name."""
 
     def number(name: str) -> Column:
-        return F.coalesce(F.nullif(F.trim(F.col(name)), F.lit("")).try_cast("double"), F.lit(0.0))
+        return F.coalesce(parsed(F.col(name)), F.lit(0.0))
 
     blank = F.lit("")
     return rows.select(

@@ -10,11 +10,9 @@ from pyspark.sql.types import StringType
 from tillmetrics.fixed import SALES_ALIASES, UNKNOWN_SALES_PRODUCT, VAT_DIVISOR, WEBSHOP_SALES_ALIASES
 from tillmetrics.functions.flags import discount_flag
 from tillmetrics.functions.names import pick
-from tillmetrics.functions.num import select_rounded, strip_to_number, whole_number
+from tillmetrics.functions.num import select_rounded, text_number, whole_number
 from tillmetrics.operators.lookups import with_lookups
 
-SCIENTIFIC = r"^-?[0-9.]+E-?[0-9]+$"
-
 READ_OUT = [
     "product_name", "ean", "units_sold", "revenue", "revenue_ex_vat", "net_selling_price",
     "selling_price", "original_price", "discount_used_pct", "cogs", "estimated_ad_cost",
@@ -42,10 +40,8 @@ def _typed(df: DataFrame, channel: str) -> DataFrame:
         if name is None:
             return F.lit(None).cast("double")
         column = F.col(f"`{name}`")
-        if channel == "webshop" and isinstance(df.schema[name].dataType, StringType):
-            # numbers that Spark wrote may read 1.5E7, which must not lose its E
-            return F.when(column.rlike(SCIENTIFIC), column.try_cast("double")).otherwise(strip_to_number(column))
-        return column.cast("double")
+        currency_text = channel == "webshop" and isinstance(df.schema[name].dataType, StringType)
+        return text_number(column) if currency_text else column.cast("double")
 
     def text(target: str) -> Column:
         column = found(target)
