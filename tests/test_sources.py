@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from tillmetrics.operators import flatten, quality
 from tillmetrics.plans import sales_view

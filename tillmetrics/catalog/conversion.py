@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillmetrics.catalog.mapping import REFERENCE_DAY, table, with_tables
+from tillmetrics.catalog.mapping import REFERENCE_DAY, read, table, with_tables
 from tillmetrics.catalog.profit import two_offers
 from tillmetrics.catalog.registry import query, r
 from tillmetrics.operators import insights
@@ -316,8 +316,6 @@ def a16(spark, sf):
     qualify row_number() over (partition by user_id, event_type order by cast(ts as date) desc, event_id desc) = 1""",
 )
 def d2(spark, sf):
-    from tillmetrics.catalog.mapping import read
-
     rows = read(spark, sf, "events").selectExpr(
         "user_id as offer_id", "event_type as period_type", "'' as period_label", "date(ts) as date",
         "event_id as seq", "ts", "value",
@@ -340,8 +338,6 @@ _K = "cast(json_extract_string(props, '$.k') as integer)"
 
 
 def _shapes(spark: SparkSession, sf: str) -> DataFrame:
-    from tillmetrics.catalog.mapping import read
-
     k = F.get_json_object("props", "$.k").cast("int")
     events = read(spark, sf, "events").withColumn("k", k)
     text = {
@@ -381,8 +377,6 @@ def p7(spark, sf):
 
 
 def _series(spark: SparkSession, sf: str) -> DataFrame:
-    from tillmetrics.catalog.mapping import read
-
     events = read(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     return events.withColumn(
         "payload",
