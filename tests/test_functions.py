@@ -134,3 +134,17 @@ def test_names():
 def test_discount_flag(spark, raw, flag):
     df = spark.createDataFrame([(raw,)], "r string")
     assert df.select(discount_flag(F.col("r"))).first()[0] is flag
+
+
+def test_exact_sum_of_huge_values(spark):
+    # values that are totals themselves; one beyond the room fails instead of being wrong
+    df = spark.createDataFrame([(5e12 + 0.25,), (-1e12,), (3e12 + 0.5,)], "x double")
+    row = exact_agg(df, [], {}, {"s": total("x"), "a": mean("x", None)}).first()
+    assert (row.s, row.a) == (7000000000000.75, 7000000000000.75 / 3)
+    with pytest.raises(Exception, match="OVERFLOW"):
+        exact_agg(spark.range(1).selectExpr("1e16D as x"), [], {}, {"s": total("x")}).collect()
+
+
+def test_exact_sum_of_negative_fractions(spark):
+    df = spark.createDataFrame([(-0.1,), (-0.2,), (0.3,), (-1.005,)], "x double")
+    assert exact_agg(df, [], {}, {"s": total("x", None)}).first().s == -1.005

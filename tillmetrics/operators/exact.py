@@ -1,10 +1,11 @@
 """Grouped sums and averages of doubles that do not depend on row order.
 
 Adding doubles in another order changes the last bits, and a rounded average
-that sits on a tie then flips. Here each value becomes a whole number of
-ten-billionths before it is added. The number is split into two longs, which
-gives room for 9e14 units of money and 9e12 rows in one group and still adds
-longs only: about a tenth of the cost of DECIMAL, combined before the shuffle.
+that sits on a tie then flips. Here each value is split into two whole numbers,
+its ten-thousandths and the ten-billionths left over, and longs are added. That
+gives room for 9e14 units of money, in one value or in a group, and for 9e12
+rows in a group, at about a tenth of the cost of DECIMAL; beyond it the sum
+fails with an overflow error. Everything combines before the shuffle.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillmetrics.functions.num import half_away_sql
 
-_UNITS = 10_000_000_000
-_SPLIT = 1_000_000
+_HIGH = 10_000
+_LOW = 1_000_000
 
 
 class Measure(NamedTuple):
@@ -51,39 +52,43 @@ def exact_agg(
     The output has the keys, then ``plain``, then ``measures`` in their order.
     """
     values = {(m.sql, m.stored): f"_v{i}" for i, m in enumerate(dict.fromkeys(measures.values()))}
-    scale = {key: _UNITS if key[1] is None else 10 ** key[1] for key in values}
-
-    scaled = df.selectExpr("*", *[f"({k[0]}) * {scale[k]}D as {v}" for k, v in values.items()])
-    units = scaled.selectExpr(
-        *[f"`{c}`" for c in df.columns],
-        *[f"cast({half_away_sql(v)} as bigint) as {v}" for v in values.values()],
-    )
-
-    sums = []
-    for key, v in values.items():
-        if key[1] is None:
-            sums += [f"sum({v} div {_SPLIT}) as {v}_high", f"sum({v} % {_SPLIT}) as {v}_low"]
+    kept = [f"`{c}`" for c in df.columns]
+
+    def scale(stored: int | None) -> int:
+        return _HIGH if stored is None else 10**stored
+
+    scaled = df.selectExpr("*", *[f"({sql}) * {scale(stored)}D as {v}" for (sql, stored), v in values.items()])
+    split, whole, sums = [], [], []
+    for (_, stored), v in values.items():
+        if stored is None:
+            split += [f"cast({v} as bigint) as {v}_high", f"({v} - cast({v} as bigint)) * {_LOW}D as {v}"]
+            whole.append(f"{v}_high")
+            sums.append(f"sum({v}_high) as {v}_high")
         else:
-            sums.append(f"sum({v}) as {v}_low")
-        sums.append(f"count({v}) as {v}_n")
+            split.append(v)
+        whole.append(f"cast({half_away_sql(v)} as bigint) as {v}_low")
+        sums += [f"sum({v}_low) as {v}_low", f"count({v}_low) as {v}_n"]
+    units = scaled.selectExpr(*kept, *split).selectExpr(*kept, *whole)
+
     ordinary = [f"{sql} as `{n}`" for n, sql in plain.items()]
     grouped = units.groupBy(*keys).agg(*[F.expr(s) for s in ordinary + sums])
 
     def result(m: Measure) -> str:
         v = values[m.sql, m.stored]
-        whole = f"{v}_low"
         if m.stored is None:
-            whole = f"(cast({v}_high as decimal(20,0)) * {_SPLIT} + cast({v}_low as decimal(20,0)))"
-        sql = f"cast({whole} as double) / {scale[m.sql, m.stored]}D"
+            parts = f"cast({v}_high as decimal(20,0)) * {_LOW} + cast({v}_low as decimal(20,0))"
+            sql = f"cast({parts} as double) / {_HIGH * _LOW}D"
+        else:
+            sql = f"cast({v}_low as double) / {10**m.stored}D"
         if m.kind == "avg":
             sql = f"{sql} / nullif({v}_n, 0)"
         sql = f"{sql} * {m.times}" if m.times != 1 else sql
         return sql if m.digits is None else f"({sql}) * {10**m.digits}D"
 
-    kept = [f"`{c}`" for c in (*keys, *plain)]
-    results = grouped.selectExpr(*kept, *[f"{result(m)} as `{n}`" for n, m in measures.items()])
+    named = [f"`{c}`" for c in (*keys, *plain)]
+    results = grouped.selectExpr(*named, *[f"{result(m)} as `{n}`" for n, m in measures.items()])
     return results.selectExpr(
-        *kept,
+        *named,
         *[
             f"`{n}`" if m.digits is None else f"{half_away_sql(f'`{n}`')} / {10**m.digits}D as `{n}`"
             for n, m in measures.items()
