@@ -1,5 +1,25 @@
 """DuckDB SQL for the results of the queries that SQL can express."""
 
+OP1 = r"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+  SELECT vec_id AS node, vec_id AS root FROM embeddings
+  UNION
+  SELECT p.b, r.root FROM reach r JOIN pairs p ON p.a = r.node
+), roots AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
+SELECT e.vec_id, (SELECT count(*) FROM pairs p WHERE p.a = e.vec_id) AS n_links, r.component_id,
+  e.vec_id = r.component_id AS kept
+FROM embeddings e JOIN roots r ON r.node = e.vec_id
+"""
+
 OP2 = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE text IS NOT NULL
@@ -81,4 +101,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, cove
 FROM counted
 """
 
-SQL = {"op2_ngram_jaccard_join": OP2, "op9_line_dedup": OP9, "op10_quality_rules": OP10}
+SQL = {"op1_embedding_near_dedup": OP1, "op2_ngram_jaccard_join": OP2, "op9_line_dedup": OP9, "op10_quality_rules": OP10}
