@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, jaccard_join, line_dedup, packing, quality_model, repetition, sql, toxicity
+from . import embedding_dedup, jaccard_join, line_dedup, packing, quality_model, repetition, sql, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(docs, model).withColumn("held_out", held)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive_and_read(_table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Query] = {
         op1_embedding_near_dedup,
         op2_ngram_jaccard_join,
         op4_toxicity,
+        op5_warc,
         op6_packing,
         op7_quality_classifier,
         op9_line_dedup,

@@ -49,6 +49,18 @@ SELECT d.doc_id, coalesce(f.class_id, d.doc_id) AS class_id, coalesce(f.n_links,
 FROM documents d LEFT JOIN found f ON f.doc_id = d.doc_id
 """
 
+OP5 = r"""
+WITH p AS (
+  SELECT page_id, sha1(coalesce(html, '')) AS h, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages
+), f AS (SELECT h, payload_bytes, min(page_id) AS first FROM p GROUP BY ALL)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT) >> (5 * (3 - i % 4))) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to, true AS digest_ok
+FROM p JOIN f USING (h, payload_bytes)
+"""
+
 OP9 = r"""
 WITH lines AS (
   SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL
@@ -101,4 +113,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, cove
 FROM counted
 """
 
-SQL = {"op1_embedding_near_dedup": OP1, "op2_ngram_jaccard_join": OP2, "op9_line_dedup": OP9, "op10_quality_rules": OP10}
+SQL = {"op1_embedding_near_dedup": OP1, "op2_ngram_jaccard_join": OP2, "op5_warc": OP5, "op9_line_dedup": OP9, "op10_quality_rules": OP10}
