@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmetrics.llm import jaccard_join, line_dedup, repetition, toxicity
+from tillmetrics.llm import jaccard_join, line_dedup, packing, repetition, toxicity
 from tillmetrics.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -36,11 +37,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return jaccard_join.keep_one(docs)
 
 
+def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in windows of 1024 tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("quality_rules", drop_repetitive),
     ("line_dedup", drop_boilerplate_lines),
     ("near_copies", drop_near_copies),
+    ("packing", pack_windows),
 ]
 
 #: A fitted model and the differencing of windows cannot be expressed in SQL.

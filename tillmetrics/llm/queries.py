@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, jaccard_join, line_dedup, packing, quality_model, repetition, sql, toxicity, warc
+from . import (
+    embedding_dedup,
+    jaccard_join,
+    line_dedup,
+    packing,
+    perspectives,
+    pieces,
+    quality_model,
+    repetition,
+    sql,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +37,11 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.drop("ids")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     held = quality_model.held_out(F.col("doc_id"))
@@ -45,6 +62,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.digest(perspectives.segments(_table(spark, sf_dir, "conversations")))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_dedup.remove_boilerplate(docs, report="lines").select(
@@ -61,10 +82,12 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_embedding_near_dedup,
         op2_ngram_jaccard_join,
+        op3_sentencepiece,
         op4_toxicity,
         op5_warc,
         op6_packing,
         op7_quality_classifier,
+        op8_chat_formatting,
         op9_line_dedup,
         op10_quality_rules,
     )

@@ -61,6 +61,28 @@ SELECT page_id, payload_bytes,
 FROM p JOIN f USING (h, payload_bytes)
 """
 
+OP8 = r"""
+WITH base AS (
+  SELECT conv_id, turn, role, replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations WHERE conv_id IS NOT NULL
+), people AS (
+  SELECT DISTINCT conv_id, role AS perspective FROM base WHERE role IS NOT NULL AND role <> 'system'
+), seg AS (
+  SELECT conv_id, perspective, turn, role, text, coalesce(role = perspective, false) AS own,
+    CASE WHEN coalesce(role = perspective, false) THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>'
+      ELSE '<|user name=' || replace(coalesce(role, 'unknown'), '<|', '< |') || '|>' END || chr(10) || text || '<|end|>' || chr(10) AS s
+  FROM base JOIN people USING (conv_id)
+), placed AS (
+  SELECT *, sum(length(s)) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, role NULLS FIRST, text
+    ROWS UNBOUNDED PRECEDING) - length(s) AS start,
+    CASE WHEN own THEN length(text) + 8 ELSE 0 END AS loss
+  FROM seg
+)
+SELECT conv_id, perspective, count(*) AS n_segments, CAST(sum(length(s)) AS BIGINT) AS n_chars,
+  CAST(sum(loss) AS BIGINT) AS n_loss_chars,
+  CAST(sum(CAST('0x' || substr(md5(start::VARCHAR || '|' || loss::VARCHAR || '|' || s), 1, 8) AS BIGINT)) AS BIGINT) AS checksum
+FROM placed GROUP BY conv_id, perspective
+"""
+
 OP9 = r"""
 WITH lines AS (
   SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL
@@ -113,4 +135,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, cove
 FROM counted
 """
 
-SQL = {"op1_embedding_near_dedup": OP1, "op2_ngram_jaccard_join": OP2, "op5_warc": OP5, "op9_line_dedup": OP9, "op10_quality_rules": OP10}
+SQL = {
+    "op1_embedding_near_dedup": OP1,
+    "op2_ngram_jaccard_join": OP2,
+    "op5_warc": OP5,
+    "op8_chat_formatting": OP8,
+    "op9_line_dedup": OP9,
+    "op10_quality_rules": OP10,
+}
