@@ -30,8 +30,9 @@ from .ship import ship
 RUNS = 16
 #: Sampled tokens a set keeps for the levels below.
 TOKENS = 48
-#: Expected samples of a set in a bucket that is split again.
-BRANCH = 2.0
+#: Expected samples of a set in a bucket that is split again; a little over 1 / threshold,
+#: so that the shared paths of a pair at the threshold do not die out.
+BRANCH = 1.5
 LEVELS = 3
 #: Buckets up to this size are compared by brute force at once.
 SMALL_BUCKET = 200
@@ -265,7 +266,7 @@ def candidate_edges(reps: DataFrame, threshold: float, scratch: str) -> DataFram
         if total[1] == 0:
             break
         # Large buckets: whatever is close to the bucket's leader is done with.
-        large = rows.filter(F.col("size") > SMALL_BUCKET).select("path", "rep", "sketch", "tokens")
+        large = rows.filter(F.col("size") > SMALL_BUCKET).select("path", "size", "rep", "sketch", "tokens")
         leaders = large.groupBy("path").agg(
             F.min("rep").alias("leader"), F.min_by("sketch", "rep").alias("leader_sketch")
         )
@@ -273,22 +274,22 @@ def candidate_edges(reps: DataFrame, threshold: float, scratch: str) -> DataFram
         large.join(leaders, "path").withColumn(
             "near", _nearness(threshold)(F.col("sketch"), F.col("leader_sketch"))
         ).drop("leader_sketch").write.parquet(near_path)
+        judged = spark.read.parquet(near_path)
         # Only where the leader stands for most of its bucket; elsewhere all go on.
-        dense = spark.read.parquet(near_path).groupBy("path").agg(F.avg((F.col("near") == 2).cast("int")).alias("share"))
-        judged = (
-            spark.read.parquet(near_path)
-            .join(dense, "path")
-            .withColumn("near", F.when(F.col("share") >= 0.5, F.col("near")).otherwise(0))
-        )
-        add(judged.filter("near > 0 and rep != leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")))
-        rest = judged.filter("near < 2").select("path", "rep", "sketch", "tokens")
+        dense = judged.filter("near = 2").groupBy("path", "size").agg(F.count("*").alias("core"))
+        dense = dense.filter("core * 2 >= size").select("path")
+        settled = judged.filter("near > 0 and rep != leader").join(dense, "path", "left_semi")
+        add(settled.select(F.col("rep").alias("a"), F.col("leader").alias("b")))
+        rest = judged.filter("near < 2").unionByName(judged.filter("near = 2").join(dense, "path", "left_anti"))
+        rest = rest.select("path", "rep", "sketch", "tokens")
         if level < LEVELS:
             child = F.filter(
                 "tokens",
                 lambda t: _unit(F.xxhash64("path", t)) < BRANCH / F.size("tokens"),
             )
             light = rest.select("rep", F.explode(F.transform(child, lambda t: F.xxhash64(t, "path"))).alias("path"))
-            light = light.distinct()
+            light.distinct().write.parquet(f"{scratch}/split{level}")
+            light = spark.read.parquet(f"{scratch}/split{level}")
         else:
             add(_block_pairs(rest, compare, scratch))
     return edges
