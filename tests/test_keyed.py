@@ -110,8 +110,7 @@ def test_stored_table_only_rewrites_touched_buckets(spark):
     stored.upsert(frame(spark, [(str(i), 1, float(i)) for i in range(50)]), ["n"])
 
     def files_per_bucket():
-        seen = spark.read.parquet(stored.path).select("key_bucket", F.input_file_name().alias("f")).distinct()
-        return {(r.key_bucket, r.f) for r in seen.collect()}
+        return {(r.key_bucket, r.version) for r in stored._state().collect()}
 
     before = files_per_bucket()
     change = frame(spark, [("7", 2, -7.0)])
@@ -129,29 +128,50 @@ def test_a_load_leaves_other_months_alone(spark, rows):
     stored.upsert(frame(spark, months, schema), ["v"])
 
     def files():
-        seen = spark.read.parquet(stored.path).select("key_part", F.input_file_name().alias("f")).distinct()
-        return {(r.key_part, r.f) for r in seen.collect()}
+        return {(r.key_part, r.version) for r in stored._state().collect()}
 
     before = files()
     stored.upsert(frame(spark, [(f"3-{i}", "2026-03-05T10:00:00Z", 100 + i) for i in range(6)], schema), ["v"])
     after = files()
-    assert {f for p, f in before if p != "2026-03"} == {f for p, f in after if p != "2026-03"}
+    assert {f for p, f in before if p != "p_2026-03"} == {f for p, f in after if p != "p_2026-03"}
     got = {r.id: r.v for r in stored.read().collect()}
     assert len(got) == 19 and got["3-5"] == 105 and got["2-5"] == 5
-    plan = stored._stored().filter("key_part = '2026-01'")._jdf.queryExecution().executedPlan().toString()
+    plan = stored._stored().filter("key_part = 'p_2026-01'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(key_part" in plan
 
 
-def test_interrupted_load_is_repaired(spark, rows):
+def test_interrupted_load_changes_nothing(spark, rows):
     stored = KeyedTable(spark, scratch_path(spark, "t"), SCHEMA, ["k"], buckets=4)
     stored.upsert(frame(spark, [("a", 1, 1.0), ("b", 1, 1.0)]), ["n"])
-    # the finished copy of a load that died before it was moved in
-    late = frame(spark, [("a", 2, 2.0)]).select("*", *stored._place())
-    same = stored._stored().join(late.select("key_bucket").distinct(), "key_bucket").filter("k <> 'a'")
-    late.unionByName(same.select(*late.columns)).write.partitionBy("key_part", "key_bucket").parquet(stored.pending)
-    stored.repair()
-    assert rows(stored.read()) == [("a", 2, 2.0), ("b", 1, 1.0)]
-    assert not stored._exists(stored.pending)
+    # rows of a load that died before its switch
+    dead = frame(spark, [("a", 2, 2.0)]).select("*", *stored._place(4))
+    dead.write.partitionBy("key_part", "key_bucket").parquet(f"{stored.path}/rows/version=v0000000002")
+    assert rows(stored.read()) == [("a", 1, 1.0), ("b", 1, 1.0)]
+    stored.delete(frame(spark, [("b",)], "k string"))
+    assert rows(stored.read()) == [("a", 1, 1.0)]
+    stored.upsert(frame(spark, [("a", 3, 3.0)]), ["n"])
+    stored.vacuum()
+    assert rows(stored.read()) == [("a", 3, 3.0)]
+
+
+def test_null_keys_twice(spark, rows):
+    batch = frame(spark, [(None, 1, 1.0), ("", 1, 2.0), ("a", 1, 3.0)])
+    once = keyed.replace_upsert(frame(spark, []), batch, ["k"], ["n"])
+    assert rows(keyed.replace_upsert(once, batch, ["k"], ["n"])) == rows(batch)
+    assert rows(keyed.replace_upsert(once, batch, ["k"], ["n"], update_columns=["v"])) == rows(batch)
+    stored = KeyedTable(spark, scratch_path(spark, "t"), SCHEMA, ["k"])
+    for _ in range(3):
+        stored.upsert(batch, ["n"])
+    assert rows(stored.read()) == rows(batch)
+
+
+def test_blank_and_odd_coarse_partitions(spark, rows):
+    schema = "id string, place string, v int"
+    stored = KeyedTable(spark, scratch_path(spark, "t"), schema, ["id"], buckets=2, within="place")
+    for i, place in enumerate(["", None, "none", "blank", "a/b=c %", "x y"]):
+        stored.upsert(frame(spark, [(f"k{i}", place, i)], schema), ["v"])
+        stored.upsert(frame(spark, [(f"l{i}", place, i)], schema), ["v"])
+    assert len(rows(stored.read())) == 12
 
 
 def test_stored_delete_may_empty_a_bucket(spark, rows):

@@ -30,9 +30,9 @@ def r(expr: str, digits: int) -> str:
 
 
 def xsum(expr: str, digits: int = 10) -> str:
-    """Sum of doubles through whole numbers, independent of row order."""
-    factor = 10**digits
-    return f"(sum(cast(round(({expr}) * {factor}.0::double) as hugeint))::double / {factor}.0::double)"
+    """Sum of doubles taken to ``digits`` digits; read from its decimal digits, so rounded once."""
+    whole = f"sum(cast(round(({expr}) * {10**digits}.0::double) as hugeint))"
+    return f"cast(cast({whole} as varchar) || 'e-{digits}' as double)"
 
 
 def xavg(expr: str, digits: int = 10) -> str:

@@ -11,6 +11,7 @@ fails with an overflow error. Everything combines before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
@@ -77,9 +78,12 @@ def exact_agg(
         v = values[m.sql, m.stored]
         if m.stored is None:
             parts = f"cast({v}_high as decimal(20,0)) * {_LOW} + cast({v}_low as decimal(20,0))"
-            sql = f"cast({parts} as double) / {_HIGH * _LOW}D"
+            digits = 10
         else:
-            sql = f"cast({v}_low as double) / {10**m.stored}D"
+            parts, digits = f"cast({v}_low as decimal(20,0))", m.stored
+        # The whole number moves its point as a decimal: one rounding, at the cast.
+        sql = f"cast(({parts}) * {Decimal(1).scaleb(-digits):f} as decimal(38,{digits}))"
+        sql = f"cast({sql} as double)"
         if m.kind == "avg":
             sql = f"{sql} / nullif({v}_n, 0)"
         sql = f"{sql} * {m.times}" if m.times != 1 else sql

@@ -7,6 +7,8 @@ All are plain DataFrame functions. Row order means nothing in Spark, so
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -34,18 +36,25 @@ def replace_upsert(
 ) -> DataFrame:
     """Rows of ``old`` with every key found in ``new`` replaced by its last new row.
 
+    NULL in a key equals NULL, so loading a batch twice gives the same rows.
     With ``update_columns`` only those columns of an existing row change.
     """
-    seq_only = [c for c in seq if c not in old.columns]
-    newest = last_per_key(new, keys, seq).drop(*seq_only)
+    names = [*old.columns, *[c for c in new.columns if c not in old.columns and c not in seq]]
     if update_columns is None:
-        kept = old.join(newest.select(*keys), list(keys), "left_anti")
-        return kept.unionByName(newest, allowMissingColumns=True)
+        # Old and new rows together, the last new row of a key first; NULL is a key like any other.
+        # Old rows tie with each other, so all of them stay where no new row came.
+        order = [F.col("_new").desc()] + [F.when(F.col("_new") == 1, F.col(c)).desc() for c in seq]
+        both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+        window = Window.partitionBy(*keys).orderBy(*order)
+        ranked = both.withColumn("_rank", F.rank().over(window)).withColumn("_row", F.row_number().over(window))
+        return ranked.filter("_rank = 1 and (_new = 0 or _row = 1)").select(*names)
+    newest = last_per_key(new, keys, seq).drop(*[c for c in seq if c not in old.columns])
     kept_columns = [c for c in old.columns if c not in keys and c not in update_columns]
     left = old.withColumn("_had", F.lit(True)).alias("o")
     right = newest.withColumn("_got", F.lit(True)).alias("n")
-    merged = left.join(right, list(keys), "full_outer")
-    chosen = [F.col(k) for k in keys]
+    same_key = reduce(and_, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
+    merged = left.join(right, same_key, "full_outer")
+    chosen = [F.coalesce(f"o.{k}", f"n.{k}").alias(k) for k in keys]
     for name in old.columns:
         if name in keys:
             continue
@@ -91,7 +100,9 @@ def conditional_merge(
         return out
 
     changes = new.groupBy(key).agg(*given_columns())
-    merged = old.withColumn("_had", F.lit(True)).join(changes, key, "full_outer")
+    changes = changes.withColumnRenamed(key, "_key")
+    merged = old.withColumn("_had", F.lit(True)).join(changes, F.col(key).eqNullSafe(F.col("_key")), "full_outer")
+    merged = merged.withColumn(key, F.coalesce(key, "_key"))
     name = F.coalesce(
         F.col("_name"),
         F.when(F.col("_had"), F.col(name_column)).otherwise(F.col("_first_name")),
@@ -111,8 +122,13 @@ def conditional_merge(
 
 
 def keyed_delete(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not listed; a blank listed key removes '' and NULL keys."""
-    listed = keys.select(
-        F.when(F.trim(F.coalesce(F.col(key), F.lit(""))) == "", F.lit("")).otherwise(F.col(key)).alias("_key")
-    ).distinct()
-    return table.join(listed, F.coalesce(F.col(key), F.lit("")) == F.col("_key"), "left_anti")
+    """Rows whose key is not listed; a blank listed key removes '' and NULL keys.
+
+    Blank keys are settled by one yes or no, so that they never meet in the join.
+    """
+    blank = F.trim(F.coalesce(F.col(key), F.lit(""))) == ""
+    listed = keys.filter(~blank).select(F.col(key).alias("_key")).distinct()
+    any_blank = keys.agg(F.coalesce(F.max(blank), F.lit(False))).scalar()
+    empty = F.coalesce(F.col(key), F.lit("")) == ""
+    left = table.filter(~empty).join(listed, F.col(key) == F.col("_key"), "left_anti")
+    return left.unionByName(table.filter(empty).filter(~any_blank))

@@ -2,45 +2,34 @@
 
 from __future__ import annotations
 
-import math
+from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 
-HOT_KEYS_TRACKED = 50
-# above this size the key counts come from every hundredth row
-SKETCH_ALL_BELOW_BYTES = 1 << 30
-SKETCH_SHARE = 0.01
 
-
-def plan_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of the size of ``df`` (metadata only, no job)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def plan_bytes(df: DataFrame) -> int | None:
+    """Spark's own estimate of the size of ``df`` (metadata only, no job); None where it is not told."""
+    plan = getattr(df, "_jdf", None)
+    return None if plan is None else int(plan.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    number = text.rstrip("bkmg")
+    return int(number) * _UNITS[text[len(number) :]]
 
-def hot_keys(df: DataFrame, key: str, slices: int) -> dict[object, int]:
-    """Hot keys and the number of slices each deserves.
 
-    A key is hot when it holds more than one ``slices``-th of the rows. The
-    counts come from a sketch of bounded size that is merged from per-task
-    partials and reads the key column only; of a large table it sees a share of
-    the rows. So the counts are approximate, but they only decide how rows
-    spread: which rows match, and that all of them do, does not depend on them.
+def hot_keys(df: DataFrame, key: str, slices: int) -> DataFrame:
+    """(``key``, _copies): the keys with more than one ``slices``-th of the rows.
 
-    At most ``HOT_KEYS_TRACKED`` keys come back. They are fetched once, because
-    both sides of the join must be cut by the very same numbers.
+    Their number is below ``slices``, whatever the data. Counts are exact and
+    combine before the shuffle; nothing runs until the join does. _copies is the
+    number of slices a key deserves.
     """
-    keys = df.select(key).filter(F.col(key).isNotNull())
-    if plan_bytes(keys) >= SKETCH_ALL_BELOW_BYTES:
-        keys = keys.sample(SKETCH_SHARE, seed=1)
-    found = keys.agg(
-        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")
-    ).first()
-    shares = {t["item"]: t["count"] * slices / found["n"] for t in found["top"] or []}
-    return {item: math.ceil(share) for item, share in shares.items() if share > 1}
+    counts = df.select(key).filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.agg(F.count(key)).scalar()
+    share = F.col("_n") * slices / total
+    return counts.filter(share > 1).select(key, F.ceil(share).cast("int").alias("_copies"))
 
 
 def with_lookups(
@@ -50,6 +39,7 @@ def with_lookups(
     how: str = "left",
     spread_by: list[str] | None = None,
     counts_from: DataFrame | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to each lookup on ``key``.
 
@@ -60,34 +50,31 @@ def with_lookups(
     (``spread_by``, the same after a task is rerun), lookup rows of a hot key
     are repeated once per slice, and all big lookups share the one shuffle on
     (key, slice). Keys that are NULL match nothing and are spread the same way.
+    Both paths give the same rows.
 
     ``counts_from``: a cheaper table whose keys are distributed like those of
-    ``facts``, to find the hot keys in. A stream is joined without slices.
+    ``facts``, to find the hot keys in. ``unique``: ``facts`` has one row per key,
+    so no key can be hot. A stream is joined without slices.
     """
     limit = broadcast_limit(facts)
-    small = [t for t in lookups if plan_bytes(t) <= limit]
-    big = [t for t in lookups if plan_bytes(t) > limit]
-    if big and not facts.isStreaming:
+    sizes = [plan_bytes(t) for t in lookups]
+    small = [t for t, size in zip(lookups, sizes, strict=True) if size is not None and size <= limit]
+    big = [t for t, size in zip(lookups, sizes, strict=True) if size is None or size > limit]
+    if big and not facts.isStreaming and not unique:
         slices = max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        source = facts if counts_from is None else counts_from
-        copies = _copies(hot_keys(source, key, slices), key)
-        row_hash = F.xxhash64(*(spread_by or facts.columns))
-        share = F.when(F.col(key).isNull(), F.lit(slices)).otherwise(copies)
-        facts = facts.withColumn("_slice", F.pmod(row_hash, share).cast("int"))
+        # Fewer rows than slices: proven small enough to send to every task.
+        hot = F.broadcast(hot_keys(facts if counts_from is None else counts_from, key, slices))
+        columns = facts.columns
+        row_hash = F.xxhash64(*(spread_by or columns))
+        share = F.when(F.col(key).isNull(), F.lit(slices)).otherwise(F.coalesce("_copies", F.lit(1)))
+        facts = facts.join(hot, key, "left").select(*columns, F.pmod(row_hash, share).cast("int").alias("_slice"))
         for table in big:
-            sliced = table.filter(F.col(key).isNotNull()).withColumn(
-                "_slice", F.explode(F.sequence(F.lit(0), copies - 1))
-            )
+            names = table.columns
+            sliced = table.filter(F.col(key).isNotNull()).join(hot, key, "left")
+            copies = F.coalesce("_copies", F.lit(1))
+            sliced = sliced.select(*names, F.explode(F.sequence(F.lit(0), copies - 1)).alias("_slice"))
             facts = facts.join(sliced, [key, "_slice"], how)
         facts, big = facts.drop("_slice"), []
     for table in small + big:
         facts = facts.join(table, key, how)
     return facts
-
-
-def _copies(hot: dict[object, int], key: str) -> Column:
-    """Slices of the key of a row: one, unless it is hot."""
-    if not hot:
-        return F.lit(1)
-    table = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
-    return F.coalesce(F.try_element_at(table, F.col(key)), F.lit(1))

@@ -90,7 +90,7 @@ def product_performance(order_lines: DataFrame, products: DataFrame) -> DataFram
     )
     named = products.select("product_key", "product_name", "sku", "channel")
     return exact_agg(
-        with_lookups(per_product, "product_key", named, how="inner"),
+        with_lookups(per_product, "product_key", named, how="inner", unique=True),
         ["product_name", "sku", "channel"],
         {"total_orders": "sum(total_orders)", "units_sold": "sum(units_sold)"},
         {"total_revenue": total("revenue")},

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 SETTINGS = {
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
