@@ -32,6 +32,9 @@ def c(code, n, key="total", name="countryCode"):
         ({"countries": [{"countryCode": "NL", "total": "7", "value": 2}]}, (2, 0, 2)),  # text is no count
         ({"countries": "none", "value": 6}, (0, 0, 6)),
         ({"countries": [None, c("NL", 1)]}, (1, 0, 1)),
+        ({"offerInsights": ["x", {"countries": [c("NL", 4)]}]}, (4, 0, 4)),
+        ({"insights": [3, {"countries": [c("BE", 4)]}], "total": 1}, (0, 4, 4)),
+        ({"countries": [True, -1.5e3, "a, [b\"", c("NL", 2)], "name": "x, 1, y"}, (2, 0, 2)),
         ({}, (0, 0, 0)),
         ("not json", (0, 0, 0)),
         (None, (0, 0, 0)),
@@ -79,3 +82,23 @@ def test_total_is_the_sum_unless_it_falls_back(spark):
     for p, r in zip(payloads, insights.country_visits(df).collect()):
         both = r.visits_nl + r.visits_be
         assert r.visits_total == (both if both else p["total"])
+
+
+@pytest.mark.parametrize(
+    "text, day",
+    [
+        ("2024-01-15", date(2024, 1, 15)),
+        ("20240115", date(2024, 1, 15)),
+        ("20240115T10:00:00Z", date(2024, 1, 15)),
+        ("2024-W03-1", date(2024, 1, 15)),
+        ("2024W032", date(2024, 1, 16)),
+        ("2024-W03", date(2024, 1, 15)),
+        ("2024-W60-1", None),
+        ("2024-1-5", date(2024, 1, 5)),
+        ("20241501", None),
+        ("2024011", None),
+        ("someday", None),
+    ],
+)
+def test_days_in_all_forms(spark, text, day):
+    assert set(series(spark, {"days": [7, {"date": text, "total": 5}, "z"]})) == ({day} if day else set())

@@ -97,28 +97,30 @@ def metrics(spark: SparkSession, sf: str, mode: str = "both", days=REFERENCE_DAY
 
 
 def daily_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """One payload per offer with a list of days; a month has at most 31."""
-    month = table(spark, sf, "cv_views").filter(
-        F.col("day").between(F.lit("2024-01-01").cast("date"), F.lit("2024-01-31").cast("date"))
-    )
-    per_day = month.groupBy("offer_id", "day").agg(
+    """One payload per offer and month with a list of days; a month has at most 31.
+
+    Payloads are mixed as landed ones can be: a number and a word stand among the
+    days, and odd days are written without dashes.
+    """
+    month = table(spark, sf, "cv_views").withColumn("month", F.trunc("day", "month"))
+    per_day = month.groupBy("offer_id", "month", "day").agg(
         F.count_if(F.col("country") == "NL").alias("nl"),
         F.count_if(F.col("country") == "BE").alias("be"),
         F.count(F.lit(1)).alias("n"),
     )
     entry = F.struct(
-        F.concat(F.col("day").cast("string"), F.lit("T00:00:00Z")).alias("date"),
+        F.when(F.dayofmonth("day") % 2 == 0, F.concat(F.col("day").cast("string"), F.lit("T00:00:00Z")))
+        .otherwise(F.date_format("day", "yyyyMMdd"))
+        .alias("date"),
         F.array(
             F.struct(F.lit("nl").alias("country"), F.col("nl").alias("visits")),
             F.struct(F.lit("be").alias("country"), F.col("be").alias("visits")),
         ).alias("country"),
         F.col("n").alias("total"),
     )
-    return per_day.groupBy("offer_id").agg(
-        F.to_json(F.struct(F.array(F.struct(F.collect_list(entry).alias("periods"))).alias("offerInsights"))).alias(
-            "payload"
-        )
-    )
+    payload = F.to_json(F.struct(F.array(F.struct(F.collect_list(entry).alias("periods"))).alias("offerInsights")))
+    mixed = F.regexp_replace("payload", r'"periods":\[', '"periods":[7,"word",')
+    return per_day.groupBy("offer_id", "month").agg(payload.alias("payload")).select("offer_id", mixed.alias("payload"))
 
 
 def daily(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,8 +16,23 @@ def parse_day(text: Column) -> Column:
 
 
 def iso_day(text: Column) -> Column:
-    """Calendar day written at the start of an ISO-8601 text, offset ignored."""
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(text, 1, 10).try_cast("date"))
+    """Calendar day written at the start of a text, offset ignored.
+
+    ISO-8601 days in all forms (2026-01-19, 20260119, 2026-W04-1, 2026W041; a week
+    alone is its Monday), and year, month and day of one or two digits that fill
+    the first ten characters.
+    """
+    dashed = F.substring(text, 1, 10)
+    compact = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    week = r"^(\d{4})-?W(\d{2})(?:-?([1-7]))?(?:[^\d-].*)?$"
+    year, number, day = (F.regexp_extract(text, week, i).try_cast("int") for i in (1, 2, 3))
+    fourth = F.concat(year.cast("string"), F.lit("-01-04")).try_cast("date")
+    monday = F.date_add(week_start(fourth), (number - 1) * 7)
+    return (
+        F.when(dashed.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), dashed.try_cast("date"))
+        .when(text.rlike(r"^\d{8}(?:\D.*)?$"), compact.try_cast("date"))
+        .when(text.rlike(week) & (iso_week(monday) == number), F.date_add(monday, F.coalesce(day, F.lit(1)) - 1))
+    )
 
 
 def week_start(day: Column) -> Column:
@@ -51,8 +66,10 @@ def range_label(start: Column, end: Column) -> Column:
     return F.concat(F.date_format(start, "MMMM d"), F.lit("-"), F.date_format(end, "MMMM d, yyyy"))
 
 
-def local_today(zone: str = REPORT_TIME_ZONE) -> Column:
-    return F.convert_timezone(None, F.lit(zone), F.localtimestamp()).cast("date")
+def local_today(zone: str = REPORT_TIME_ZONE, now: Column | None = None) -> Column:
+    """The day in the report's zone, at the session's clock or at the TIMESTAMP ``now``."""
+    moment = F.current_timestamp() if now is None else now
+    return F.from_utc_timestamp(F.to_utc_timestamp(moment, F.current_timezone()), zone).cast("date")
 
 
 def last_week(day: Column) -> tuple[Column, Column]:

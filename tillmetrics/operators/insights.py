@@ -14,6 +14,19 @@ from tillmetrics.functions.dates import iso_day
 from tillmetrics.schemas import DAILY_PAYLOAD, PERIOD_PAYLOAD
 
 
+#: A number, text or truth value as an element of an array.
+_SCALAR = r'(?<=[\[,])\s*(?:"(?:[^"\\]|\\.)*"|-?\d[^\s,\]}]*|true|false)\s*(?=[,\]])'
+
+
+def _objects_only(payload: Column) -> Column:
+    """The JSON text with null for elements that are no objects; without such an element unchanged.
+
+    Only objects count in a payload's lists, but one other element would make the
+    JSON reader drop the whole list.
+    """
+    return F.when(payload.rlike(_SCALAR), F.regexp_replace(payload, _SCALAR, "null")).otherwise(payload)
+
+
 def _list(value: Column) -> Column:
     """The array; empty when there is none."""
     return F.coalesce(value, F.array())
@@ -88,7 +101,7 @@ def _total(visits: str) -> Column:
 
 def country_visits(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Add visits_nl, visits_be and visits_total read from the JSON text."""
-    parsed = df.withColumn("_doc", F.from_json(F.col(payload), PERIOD_PAYLOAD))
+    parsed = df.withColumn("_doc", F.from_json(_objects_only(F.col(payload)), PERIOD_PAYLOAD))
     parsed = parsed.withColumn("_v", _visits(F.col("_doc")))
     return parsed.select(
         *df.columns,
@@ -101,8 +114,9 @@ def country_visits(df: DataFrame, payload: str = "payload") -> DataFrame:
 def daily_series(df: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per day of each series; the last entry of a day wins.
 
-    Duplicate days are settled by sorting the entries inside the row, so no
-    shuffle is needed and a long series costs n log n.
+    The last position of each day is found by sorting days and positions inside the
+    row, so no shuffle is needed; visits are counted for the entries that are left,
+    in columns of their own.
     """
     doc = F.col("_doc")
     wrapped = F.flatten(
@@ -118,24 +132,31 @@ def daily_series(df: DataFrame, payload: str = "payload") -> DataFrame:
         names = ("day", "date", "timestamp")
         return iso_day(F.coalesce(*[F.nullif(e[n], F.lit("")) for n in names]))
 
-    def own_count(e: Column) -> Column:
-        """An entry may carry its own count when its countries say nothing."""
-        return F.coalesce(*[e[k] for k in VISIT_COUNT_KEYS[:3]], F.lit(0.0)).cast("bigint")
-
-    def placed(e: Column, i: Column) -> Column:
-        return F.struct(day_of(e).alias("day"), i.alias("pos"), _visits(e).alias("v"), own_count(e).alias("own"))
-
-    parsed = df.withColumn("_doc", F.from_json(F.col(payload), DAILY_PAYLOAD))
-    dated = F.filter(F.transform(entries, placed), lambda e: e["day"].isNotNull())
-    parsed = parsed.withColumn("_e", F.sort_array(dated))
+    places = F.sort_array(
+        F.filter(
+            F.transform(F.col("_all"), lambda e, i: F.struct(day_of(e).alias("day"), i.alias("pos"))),
+            lambda p: p["day"].isNotNull(),
+        )
+    )
     lasts = F.filter(
-        F.col("_e"),
-        lambda e, i: F.coalesce(F.get(F.col("_e"), i + 1)["day"] != e["day"], F.lit(True)),
+        F.col("_places"),
+        lambda p, i: F.coalesce(F.get(F.col("_places"), i + 1)["day"] != p["day"], F.lit(True)),
     )
-    return parsed.select(*df.columns, F.explode(lasts).alias("_d")).select(
+    kept = F.transform(lasts, lambda p: F.struct(p["day"].alias("day"), F.get(F.col("_all"), p["pos"]).alias("entry")))
+    parsed = (
+        df.withColumn("_doc", F.from_json(_objects_only(F.col(payload)), DAILY_PAYLOAD))
+        .withColumn("_all", entries)
+        .withColumn("_places", places)
+        .select(*df.columns, F.explode(kept).alias("_d"))
+    )
+    entry = F.col("_d.entry")
+    # An entry may carry its own count when its countries say nothing.
+    own = F.coalesce(*[entry[k] for k in VISIT_COUNT_KEYS[:3]], F.lit(0.0)).cast("bigint")
+    counted = parsed.withColumns({"_v": _visits(entry), "_own": own})
+    return counted.select(
         *df.columns,
         F.col("_d.day").alias("day"),
-        F.col("_d.v.c.nl").alias("visits_nl"),
-        F.col("_d.v.c.be").alias("visits_be"),
-        F.when(_total("_d.v") == 0, F.col("_d.own")).otherwise(_total("_d.v")).alias("visits_total"),
+        F.col("_v.c.nl").alias("visits_nl"),
+        F.col("_v.c.be").alias("visits_be"),
+        F.when(_total("_v") == 0, F.col("_own")).otherwise(_total("_v")).alias("visits_total"),
     )

@@ -33,9 +33,13 @@ def replace_upsert(
     keys: Sequence[str],
     seq: Sequence[str],
     update_columns: Sequence[str] | None = None,
+    keep_newer: bool = False,
 ) -> DataFrame:
     """Rows of ``old`` with every key found in ``new`` replaced by its last new row.
 
+    With ``keep_newer`` an old row stays where its ``seq`` columns are later than
+    those of the new one; a tie goes to the new row.
+
     NULL in a key equals NULL, so loading a batch twice gives the same rows.
     With ``update_columns`` only those columns of an existing row change.
     """
@@ -44,6 +48,8 @@ def replace_upsert(
         # Old and new rows together, the last new row of a key first; NULL is a key like any other.
         # Old rows tie with each other, so all of them stay where no new row came.
         order = [F.col("_new").desc()] + [F.when(F.col("_new") == 1, F.col(c)).desc() for c in seq]
+        if keep_newer:
+            order = [F.col(c).desc() for c in seq if c in old.columns] + order
         both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
         window = Window.partitionBy(*keys).orderBy(*order)
         ranked = both.withColumn("_rank", F.rank().over(window)).withColumn("_row", F.row_number().over(window))
