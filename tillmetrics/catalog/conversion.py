@@ -15,9 +15,10 @@ from tillmetrics.sinks.exports import conversion_export, metrics_order
 START, END = "2024-01-08", "2024-01-21"
 
 _CATALOG = """catalog as (
-    select o.offer_id, coalesce(nullif(c.product_name, ''), nullif(o.product_title, ''), 'Unknown Product')
-             as product_name, coalesce(o.ean, '') as ean
-    from mp_offers o left join mp_costs c on c.ean = o.ean where o.offer_id is not null)"""
+    select offer_id, coalesce(ean, '') as ean,
+        list_filter([cost_name, title, 'Unknown Product'], lambda n: n <> '')[1] as product_name
+    from (select offer_id, ean, product_title as title from mp_offers where offer_id is not null)
+    left join (select ean, product_name as cost_name from mp_costs) using (ean))"""
 _RANGE = f"cast(o.order_placed_at as date) between date '{START}' and date '{END}'"
 
 
@@ -28,10 +29,9 @@ def p18(spark, sf):
 
 @query(
     "a5_orders_by_offer",
-    with_tables("mp_offers", "cv_orders")
-    + f"""select f.offer_id, cast(coalesce(sum(o.quantity), 0) as bigint) as units_sold
-    from mp_offers f left join cv_orders o on o.ean = f.ean and {_RANGE}
-    where f.offer_id is not null group by f.offer_id""",
+    with_tables("mp_offers", "cv_orders", more=f"sold as (select ean, sum(quantity) as n from cv_orders o where {_RANGE} group by ean)")
+    + """select offer_id, cast(sum(coalesce(n, 0)) as bigint) as units_sold
+    from mp_offers left join sold using (ean) where offer_id is not null group by offer_id""",
 )
 def a5(spark, sf):
     return conversion.units_by_offer(table(spark, sf, "mp_offers"), table(spark, sf, "cv_orders"), START, END)
@@ -55,11 +55,11 @@ def j6(spark, sf):
 
 @query(
     "a6_daily_orders",
-    with_tables("mp_offers", "cv_orders")
-    + f"""select f.offer_id, cast(o.order_placed_at as date) as order_date,
-      cast(coalesce(sum(o.quantity), 0) as bigint) as units_sold
-    from mp_offers f join cv_orders o on o.ean = f.ean
-    where f.offer_id is not null and {_RANGE} group by 1, 2""",
+    with_tables("mp_offers", "cv_orders", more=f"""sold as (
+        select ean, cast(order_placed_at as date) as order_date, sum(quantity) as n from cv_orders o
+        where {_RANGE} group by all)""")
+    + """select offer_id, order_date, cast(coalesce(sum(n), 0) as bigint) as units_sold
+    from sold join mp_offers using (ean) where offer_id is not null group by all""",
 )
 def a6(spark, sf):
     return conversion.daily_units_by_offer(

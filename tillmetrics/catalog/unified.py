@@ -108,8 +108,7 @@ def order_lines(spark: SparkSession, sf: str) -> DataFrame:
     webshop = staging.webshop_items(table(spark, sf, "ws_items")).selectExpr(
         "sku as product_id", "'shopify' as channel", "order_id", "quantity as units", "price * quantity as revenue"
     )
-    lines = marketplace.unionByName(webshop)
-    return lines.select(unified.surrogate_key("product_id", "channel").alias("product_key"), "order_id", "units", "revenue")
+    return marketplace.unionByName(webshop)
 
 
 _PERFORMANCE = f"""lines as (

@@ -40,6 +40,7 @@ def with_lookups(
     spread_by: list[str] | None = None,
     counts_from: DataFrame | None = None,
     unique: bool = False,
+    slices: int | None = None,
 ) -> DataFrame:
     """Join ``facts`` to each lookup on ``key``.
 
@@ -54,14 +55,16 @@ def with_lookups(
 
     ``counts_from``: a cheaper table whose keys are distributed like those of
     ``facts``, to find the hot keys in. ``unique``: ``facts`` has one row per key,
-    so no key can be hot. A stream is joined without slices.
+    so no key can be hot. ``slices``: into how many slices the rows are thought to be
+    cut, and that all lookups count as big; else the number of shuffle partitions and
+    Spark's estimate. A stream is joined without slices.
     """
-    limit = broadcast_limit(facts)
+    limit = broadcast_limit(facts) if slices is None else -1
     sizes = [plan_bytes(t) for t in lookups]
     small = [t for t, size in zip(lookups, sizes, strict=True) if size is not None and size <= limit]
     big = [t for t, size in zip(lookups, sizes, strict=True) if size is None or size > limit]
     if big and not facts.isStreaming and not unique:
-        slices = max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        slices = slices or max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         # Fewer rows than slices: proven small enough to send to every task.
         hot = F.broadcast(hot_keys(facts if counts_from is None else counts_from, key, slices))
         columns = facts.columns

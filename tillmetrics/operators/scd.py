@@ -16,15 +16,15 @@ def apply_snapshot(
 ) -> DataFrame:
     """Close open rows whose checked columns changed and open their successors.
 
-    Keys absent from the snapshot stay open. One full outer join on the key of
-    the open rows; each key has one open row and one snapshot row.
+    Keys absent from the snapshot stay open. One full outer join that reads the
+    history once: closed rows have a join key of their own and pass through. Each
+    key has one open row and one snapshot row; NULL keys never match.
     """
-    current = history.filter(F.col("valid_to").isNull())
-    closed = history.filter(F.col("valid_to").isNotNull())
     data = [c for c in history.columns if c not in ("valid_from", "valid_to")]
-    old = current.select(key, F.struct(*history.columns).alias("_old"))
-    new = snapshot.select(key, F.struct(*data).alias("_new"))
-    pairs = old.join(new, key, "full_outer")
+    is_open = F.col("valid_to").isNull()
+    old = history.select(key, is_open.alias("_open"), F.struct(*history.columns).alias("_old"))
+    new = snapshot.select(key, F.lit(True).alias("_open"), F.struct(*data).alias("_new"))
+    pairs = old.join(new, [key, "_open"], "full_outer")
     same = [F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in check]
     unchanged = same[0]
     for test in same[1:]:
@@ -40,7 +40,7 @@ def apply_snapshot(
             end.alias("valid_to"),
         )
 
-    kept = F.when(had, row("_old", F.col("_old.valid_from"), F.when(changed, at).otherwise(never)))
+    end = F.when(F.col("_open"), F.when(changed, at).otherwise(never)).otherwise(F.col("_old.valid_to"))
+    kept = F.when(had, row("_old", F.col("_old.valid_from"), end))
     opened = F.when(changed | (~had & has), row("_new", at, never))
-    rows = pairs.select(F.explode(F.array_compact(F.array(kept, opened))).alias("r")).select("r.*")
-    return closed.select(*data, "valid_from", "valid_to").unionByName(rows)
+    return pairs.select(F.explode(F.array_compact(F.array(kept, opened))).alias("r")).select("r.*")

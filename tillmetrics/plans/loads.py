@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillmetrics.operators.keyed import conditional_merge
@@ -26,10 +28,14 @@ def rows_after(source: DataFrame, loaded: DataFrame, column: str) -> DataFrame:
     return source.filter(mark.isNull() | (F.col(column) > mark))
 
 
-def set_costs(costs: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Set cost columns of single keys; columns not given and NULLs stay as they are."""
+def set_costs(costs: DataFrame, changes: DataFrame, key: str, seq: Sequence[str] = ()) -> DataFrame:
+    """Set cost columns of single keys; columns not given and NULLs stay as they are.
+
+    ``seq``: columns that order several changes of a key, the last one wins per
+    column. Without it a key may have one change only.
+    """
     named = changes.withColumn("product_name", F.lit(""))
-    return conditional_merge(costs, named, key, ["product_name"])
+    return conditional_merge(costs, named, key, list(seq) or ["product_name"])
 
 
 def cost_listing(costs: DataFrame, key: str) -> DataFrame:

@@ -16,13 +16,15 @@ def marketplace_profitability(
     costs: DataFrame,
     after_commission: bool = True,
     dedupe_offers: bool = False,
+    slices: int | None = None,
 ) -> DataFrame:
     """Margin, revenue and profit of every marketplace order line.
 
     Offers join by EAN, so a line repeats once per offer of its EAN. With
     ``dedupe_offers`` an EAN has one offer, the one with the smallest id.
     ``after_commission=False`` gives the variant whose margin ignores the
-    commission and whose original price is the offer price.
+    commission and whose original price is the offer price. ``slices``: as in
+    ``with_lookups``.
     """
     if dedupe_offers:
         offers = first_per_key(offers, ["ean"], F.col("offer_id"))
@@ -34,6 +36,7 @@ def marketplace_profitability(
             "ean", "original_price as _listed_price", "cogs as _cogs", "estimated_ad_cost as _ad_cost"
         ),
         spread_by=["order_id", "order_item_id"],
+        slices=slices,
     )
     # a manual price entry comes before the price of the offer
     original = "coalesce(nullif(_listed_price, 0D), _offer_price)" if after_commission else "_offer_price"

@@ -80,14 +80,16 @@ def product_performance(order_lines: DataFrame, products: DataFrame) -> DataFram
     row per product and order, then to one row per product, before the join.
     """
     per_order = exact_agg(
-        order_lines, ["product_key", "order_id"], {"units": "sum(units)"}, {"revenue": total("revenue", None)}
+        order_lines, ["product_id", "channel", "order_id"], {"units": "sum(units)"}, {"revenue": total("revenue", None)}
     )
     per_product = exact_agg(
         per_order,
-        ["product_key"],
+        ["product_id", "channel"],
         {"total_orders": "count(order_id)", "units_sold": "sum(units)"},
         {"revenue": total("revenue", None)},
     )
+    # The text key is made for the few products only.
+    per_product = per_product.withColumn("product_key", surrogate_key("product_id", "channel")).drop("product_id", "channel")
     named = products.select("product_key", "product_name", "sku", "channel")
     return exact_agg(
         with_lookups(per_product, "product_key", named, how="inner", unique=True),

@@ -99,9 +99,10 @@ def write_conversion(metrics: DataFrame, daily: DataFrame, path: str) -> None:
     write_csv(daily_order(conversion_export(daily)), f"{path}/bol_conversion_daily.csv")
 
 
-def materialize(df: DataFrame, name: str, as_table: bool) -> None:
-    """Staging models are views; marts are stored tables."""
+def materialize(df: DataFrame, name: str, as_table: bool, path: str | None = None) -> None:
+    """Staging models are views; marts are stored tables, below ``path`` where one is given."""
     if as_table:
-        df.write.mode("overwrite").saveAsTable(name)
+        writer = df.write.mode("overwrite")
+        (writer.option("path", path) if path else writer).saveAsTable(name)
     else:
         df.createOrReplaceTempView(name)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Mapping
 from functools import reduce
 
@@ -39,25 +38,33 @@ def cost_rows(rows: DataFrame, key: str, zero_is_missing: bool) -> DataFrame:
     ).filter(F.col(key) != "")
 
 
+#: Columns a cost list may have; a longer line fails the read.
+COST_COLUMNS = 64
+
+
 def marketplace_costs(spark: SparkSession, path: str) -> DataFrame:
-    """Marketplace cost list, in which stray tabs stand for commas.
+    """Marketplace cost lists, in which stray tabs stand for commas.
 
-    Lines are repaired as text and then parsed by Spark's CSV functions; the
-    header is the first line of the file.
+    Lines are repaired as text and then parsed by Spark's CSV functions. The header
+    of each file is its first line with text, so files may differ in their columns.
     """
-    lines = spark.read.text(path).select(tabs_to_commas(F.col("value")).alias("line"))
-    header = lines.filter(F.trim("line") != "").first()
-    if header is None:
-        raise ValueError(f"no header line in {path}")
-    titles = next(csv.reader([header["line"].lstrip("\ufeff")]))
-    names = [plain_header(t) or f"_{i}" for i, t in enumerate(titles)]
-    schema = ", ".join(f"`{n}` string" for n in names)
-    rows = (
-        lines.filter((F.trim("line") != "") & (F.col("line") != F.lit(header["line"])))
-        .select(F.from_csv("line", schema, {"escape": '"'}).alias("r"))
-        .select("r.*")
-    )
-    return cost_rows(rows, "ean", zero_is_missing=True)
+    lines = spark.read.text(path).select(
+        tabs_to_commas(F.regexp_replace("value", "^\ufeff", "")).alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+    ).filter(F.trim("line") != "")
+    schema = ", ".join(f"c{i} string" for i in range(COST_COLUMNS))
+    fields = F.from_csv("line", schema, {"escape": '"'})
+    cells = F.array(*[fields[f"c{i}"] for i in range(COST_COLUMNS)])
+    too_long = F.raise_error(F.lit(f"a line of a cost list has over {COST_COLUMNS} columns"))
+    commas = F.length("line") - F.length(F.replace("line", F.lit(","), F.lit("")))
+    parsed = lines.withColumn("cells", F.when((commas >= COST_COLUMNS) & ~F.col("line").contains('"'), too_long).otherwise(cells))
+    titles = F.transform("cells", lambda c: F.regexp_replace(F.lower(F.trim(F.coalesce(c, F.lit("")))), "[ _]", ""))
+    headers = parsed.groupBy("file").agg(F.min("at").alias("first"), F.min_by("line", "at").alias("header"), F.min_by(titles, "at").alias("titles"))
+    rows = parsed.join(headers, "file").filter(F.col("line") != F.col("header"))
+    wanted = ["ean", "productname", *_COST_NUMBERS, "seq"]
+    found = [F.get("cells", F.array_position("titles", w).cast("int") - 1).alias(w) for w in wanted]
+    return cost_rows(rows.select(*found), "ean", zero_is_missing=True).drop("seq")
 
 
 def webshop_costs(spark: SparkSession, path: str) -> DataFrame:
@@ -65,11 +72,13 @@ def webshop_costs(spark: SparkSession, path: str) -> DataFrame:
     return cost_rows(rows, "sku", zero_is_missing=False)
 
 
-def sales_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with every column as text, so that keys keep their leading zeros."""
-    return (
-        spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
-    )
+def sales_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """CSV with every column as text, so that keys keep their leading zeros.
+
+    ``multi_line`` is for files with line breaks inside quotes; such a file is read
+    by one task, others are split.
+    """
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
 
 
 def sales_parquet(spark: SparkSession, path: str) -> DataFrame:
