@@ -205,3 +205,17 @@ def test_first_incremental_load_takes_everything(spark):
     source = frame(spark, [("a", 1, 1.0), ("b", 2, 1.0)])
     assert loads.rows_after(source, source.filter("false"), "n").count() == 2
     assert loads.rows_after(source, source.filter("n = 1"), "n").count() == 1
+    odd = frame(spark, [("a", None, 1.0), ("b", -(2**31), 1.0), ("c", 5, 1.0)])
+    assert loads.rows_after(odd, odd.filter("false"), "n").count() == 3
+    assert loads.rows_after(odd, odd.filter("n < 0"), "n").count() == 1
+
+
+def test_incremental_load_reads_only_newer_files(spark):
+    path = scratch_path(spark, "days")
+    days = spark.range(4000).selectExpr("id", "date_add(date '2024-01-01', cast(id / 100 as int)) as day")
+    days.repartitionByRange(20, "day").write.parquet(path)
+    source = spark.read.parquet(path)
+    newer = loads.rows_after(source, source.filter("day < date '2024-02-05'"), "day")
+    assert newer.count() == 500
+    plan = newer._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(day), GreaterThan(day" in plan or "DataFilters: [isnotnull(day" in plan

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tillmetrics.operators.keyed import conditional_merge
 
@@ -17,15 +17,33 @@ def append_load(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def high_water_mark(loaded: DataFrame, column: str) -> Column:
-    """The newest moment already loaded, as a scalar."""
-    return loaded.agg(F.max(column)).scalar()
+_LOWEST = {
+    "date": "0001-01-01",
+    "timestamp": "0001-01-01 00:00:00",
+    "timestamp_ntz": "0001-01-01 00:00:00",
+    "string": "",
+    "byte": -(2**7),
+    "short": -(2**15),
+    "integer": -(2**31),
+    "long": -(2**63),
+    "float": "-inf",
+    "double": "-inf",
+}
 
 
 def rows_after(source: DataFrame, loaded: DataFrame, column: str) -> DataFrame:
-    """Source rows newer than everything loaded; all rows on the first load."""
-    mark = high_water_mark(loaded, column)
-    return source.filter(mark.isNull() | (F.col(column) > mark))
+    """Source rows newer than everything loaded; all rows on the first load.
+
+    The mark is compared plainly, so that Spark hands it to the files' statistics.
+    Rows without a value, or with the type's lowest, come with the first load only.
+    """
+    kind = source.schema[column].dataType
+    lowest = F.lit(_LOWEST[kind.typeName()]).cast(kind)
+    mark = loaded.agg(F.coalesce(F.max(column), lowest)).scalar()
+    first = loaded.agg(F.max(column).isNull()).scalar()
+    newer = source.filter(F.col(column) > mark)
+    lowest_ones = source.filter((F.col(column).isNull() | (F.col(column) <= lowest)) & first)
+    return newer.unionByName(lowest_ones)
 
 
 def set_costs(costs: DataFrame, changes: DataFrame, key: str, seq: Sequence[str] = ()) -> DataFrame:
