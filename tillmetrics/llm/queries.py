@@ -44,9 +44,8 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    held = quality_model.held_out(F.col("doc_id"))
-    model = toxicity.fit(docs, labels.filter(~held))
-    return toxicity.severity(docs, model).withColumn("held_out", held)
+    model = toxicity.fit(docs, labels.filter(~quality_model.held_out(F.col("doc_id"))))
+    return toxicity.severity(docs, model)
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

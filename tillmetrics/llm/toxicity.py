@@ -158,7 +158,7 @@ def fit(
     fit_rows_per_class: int = 4000,
     grades: int = 3,
     max_features: int = 8192,
-    prior: float = 0.5,
+    prior: float = 2.0,
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -231,7 +231,7 @@ def fit(
 
 
 def severity(
-    docs: DataFrame, model: Model, threshold: float = 0.4, *, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, model: Model, threshold: float = 0.25, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(doc_id, expected_severity, grade, toxic), one row per row of docs.
 
@@ -265,6 +265,6 @@ def severity(
     return chosen.mapInArrow(work, "doc_id long, expected_severity double, grade int, toxic boolean")
 
 
-def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.4, *, text_col: str = "text") -> DataFrame:
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.25, *, text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, whose text is not toxic (as in `severity`)."""
     return filter_by_text(docs, text_col, lambda block: model.above(block)[:, 0] < threshold)
