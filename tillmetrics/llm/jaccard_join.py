@@ -395,14 +395,12 @@ def _exact(
     """(node, links, component) of every representative in a loose component."""
     spark = base.sparkSession
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
-    members = groups.join(sizes, "component").join(
-        classes.select(F.col("rep").alias("node"), "copies", "s1", "s2", "n"), "node"
-    )
+    members = groups.join(sizes, "component").join(classes.select(F.col("rep").alias("node"), "copies"), "node")
     texts = base.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("node"), "text")
     # One text of each representative; rows that share its id bring theirs as well.
-    members.drop("s1", "s2", "n").groupBy("node", "component", "size").agg(F.max("copies").alias("copies")).join(
-        texts, "node"
-    ).dropDuplicates(["node", "text"]).write.parquet(f"{scratch}/members")
+    # Joined by sorting whatever the size, so that its cost follows the input.
+    chosen = members.groupBy("node", "component", "size").agg(F.max("copies").alias("copies"))
+    chosen.join(texts.hint("merge"), "node").dropDuplicates(["node", "text"]).write.parquet(f"{scratch}/members")
     rows = spark.read.parquet(f"{scratch}/members")
     blocks = F.ceil(F.col("size") / COUNT_BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int")
