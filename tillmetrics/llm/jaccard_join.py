@@ -13,9 +13,10 @@ their whole texts, and every link between them is counted exactly.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -291,7 +292,7 @@ def candidate_edges(reps: DataFrame, threshold: float, scratch: str) -> DataFram
             light.distinct().write.parquet(f"{scratch}/split{level}")
             light = spark.read.parquet(f"{scratch}/split{level}")
         else:
-            add(_block_pairs(rest, compare, scratch))
+            add(_block_pairs(rest, compare))
     return edges
 
 
@@ -307,8 +308,6 @@ def _nearness(threshold: float):
     def nearness(sketch, leader):
         a = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(sketch), SKETCH_BINS)
         b = np.frombuffer(b"".join(leader), np.uint8).reshape(len(leader), SKETCH_BINS)
-        import pandas as pd
-
         core = likely(a, b, 1 - 1.5 * reach, 0.0)
         border = likely(a, b, 1 - 2.5 * reach)
         return pd.Series(np.where(core, 2, np.where(border, 1, 0)).astype(np.int32))
@@ -316,7 +315,7 @@ def _nearness(threshold: float):
     return nearness
 
 
-def _block_pairs(rest: DataFrame, compare, scratch: str) -> DataFrame:
+def _block_pairs(rest: DataFrame, compare: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """All of a bucket that is still large after the last split, in pairs of blocks."""
     sizes = rest.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1")
     rows = rest.select("path", "rep", "sketch").join(sizes, "path")

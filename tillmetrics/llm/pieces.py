@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import TextBlock, text_blocks
@@ -99,12 +99,14 @@ def chunks(block: TextBlock, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np
     return starts, ends, np.searchsorted(block.offsets, starts, "right") - 1
 
 
-def _segment(block: TextBlock, starts: np.ndarray, length: int, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """Best segmentation of the spans of `length` bytes at `starts`: (ids, count per span)."""
+def _segment(
+    block: TextBlock, starts: np.ndarray, length: int, pieces: Pieces, char_start: np.ndarray, chars: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Best segmentation of the spans of `length` bytes at `starts`: (ids, count per span).
+
+    char_start, chars: where characters of the block begin, and how many before each byte.
+    """
     n, longest = len(starts), min(pieces.longest, length)
-    char_start = (block.data & 0xC0) != 0x80
-    chars = np.zeros(len(block.data) + 1, np.int64)
-    np.cumsum(char_start, out=chars[1:])
     best = np.full((n, length + 1), -np.inf)
     best[:, 0] = 0
     back = np.zeros((n, length + 1), np.int32)
@@ -165,12 +167,15 @@ class Encoder:
     def _learn(self, block: TextBlock, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> None:
         lengths = ends - starts
         new_ids, new_counts, order = [], [], []
+        char_start = (block.data & 0xC0) != 0x80
+        chars = np.zeros(len(block.data) + 1, np.int64)
+        np.cumsum(char_start, out=chars[1:])
         for length in np.unique(lengths):
             own = np.flatnonzero(lengths == length)
             at_once = max(1, SCORED // (int(length) * 24)) if length <= GROUPED_BYTES else 1
             for lo in range(0, len(own), at_once):
                 part = own[lo : lo + at_once]
-                ids, counts = _segment(block, starts[part], int(length), self.pieces)
+                ids, counts = _segment(block, starts[part], int(length), self.pieces, char_start, chars)
                 new_ids.append(ids)
                 new_counts.append(counts)
                 order.append(part)
@@ -219,7 +224,7 @@ def decode_bytes(ids: np.ndarray, bounds: np.ndarray, pieces: Pieces) -> tuple[n
     return data[~lead], ends - drop[ends]
 
 
-def _prepared(column: str):
+def _prepared(column: str) -> Column:
     """A space before every text that has characters, and spaces for marks."""
     text = F.coalesce(F.col(column).cast("string"), F.lit(""))
     return F.when(F.length(text) > 0, F.concat(F.lit(" "), F.translate(text, MARK, " "))).otherwise("")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tillmetrics.session import scratch_path
 
 from .arrays import TextBlock, lower_ascii, text_blocks
-from .repetition import measure, row_max
+from .repetition import measure
 from .ship import ship
 
 
@@ -31,7 +31,6 @@ def _table(chars: bytes) -> np.ndarray:
 
 
 _UPPER = _table(bytes(range(65, 91)))
-_LOWER = _table(bytes(range(97, 123)))
 _DIGIT = _table(b"0123456789")
 _MARKS = _table(b".,;:?\"'()-")
 _LOUD = _table(b"!")
@@ -121,7 +120,7 @@ def statistics(block: TextBlock) -> np.ndarray:
             np.log1p(words / np.maximum(lines, 1)),
             share(m["n_dup_lines"], np.maximum(lines, 1)),
             share(m["n_repeat_words"], some_words),
-            share(row_max_or_zero(m["longest_repeat"]), some_words),
+            share(m["longest_repeat"], some_words),
             share(distinct, some_words),
             share(commonest, some_words),
             share(np.bincount(owner[1:][twin], minlength=block.rows), some_words),
@@ -130,10 +129,6 @@ def statistics(block: TextBlock) -> np.ndarray:
     )
 
 
-def row_max_or_zero(values: np.ndarray) -> np.ndarray:
-    return np.maximum(values, 0)
-
-
 def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, stats array<double>), one row per row of docs; null text counts as empty."""
     ship(docs.sparkSession)
