@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 
 from tillmetrics.plans import profitability, rollups, staging
+from tillmetrics.session import scratch_path
 
 ORDERS = (
     "order_id string, order_item_id string, order_placed_at string, title string, ean string, "
@@ -140,3 +141,24 @@ def test_summary_does_not_depend_on_partitioning(spark, lines):
     a = rollups.product_summary(lines(orders)).collect()
     b = rollups.product_summary(lines(orders[::-1]).repartition(7)).collect()
     assert a == b
+
+
+def test_a_date_range_skips_files(spark):
+    path = scratch_path(spark, "orders")
+    moments = spark.range(8000).selectExpr(
+        "string(id) as order_id", "string(id) as order_item_id",
+        "concat(date_add(date '2026-01-01', cast(id / 200 as int)), 'T23:30:00+01:00') as order_placed_at",
+        "string(id % 9) as ean", "1 as quantity", "2.0D as unit_price",
+    )
+    moments.repartitionByRange(20, "order_placed_at").write.parquet(path)
+    raw = spark.read.parquet(path)
+    all_rows = staging.marketplace_orders(raw).filter("date(order_placed_at) between '2026-01-10' and '2026-01-11'")
+    pruned = staging.marketplace_orders(raw, "2026-01-10", "2026-01-11").filter(
+        "date(order_placed_at) between '2026-01-10' and '2026-01-11'"
+    )
+    assert pruned.count() == all_rows.count() == 400
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    again = staging.marketplace_orders(raw, "2026-01-10", "2026-01-11")
+    scan = again._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(order_placed_at,2026-01-10), LessThan(order_placed_at,2026-01-12)" in scan

@@ -34,7 +34,7 @@ def p18(spark, sf):
     from mp_offers left join sold using (ean) where offer_id is not null group by offer_id""",
 )
 def a5(spark, sf):
-    return conversion.units_by_offer(table(spark, sf, "mp_offers"), table(spark, sf, "cv_orders"), START, END)
+    return conversion.units_by_offer(table(spark, sf, "mp_offers"), table(spark, sf, "cv_orders"), START, END, iso_text=True)
 
 
 @query(
@@ -63,7 +63,7 @@ def j6(spark, sf):
 )
 def a6(spark, sf):
     return conversion.daily_units_by_offer(
-        table(spark, sf, "mp_offers"), table(spark, sf, "cv_orders"), START, END
+        table(spark, sf, "mp_offers"), table(spark, sf, "cv_orders"), START, END, iso_text=True
     )
 
 

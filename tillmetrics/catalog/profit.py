@@ -13,9 +13,11 @@ from tillmetrics.plans import profitability, rollups, staging
 from tillmetrics.sinks.exports import summary_report, weekly_report
 
 
-def marketplace_lines(spark: SparkSession, sf: str, **options) -> DataFrame:
+def marketplace_lines(
+    spark: SparkSession, sf: str, start: str | None = None, end: str | None = None, **options
+) -> DataFrame:
     return profitability.marketplace_profitability(
-        staging.marketplace_orders(table(spark, sf, "mp_orders")),
+        staging.marketplace_orders(table(spark, sf, "mp_orders"), start, end),
         staging.marketplace_offers(table(spark, sf, "mp_offers")),
         table(spark, sf, "mp_costs"),
         **options,
@@ -273,7 +275,7 @@ def a4_webshop(spark, sf):
     select * from a4""",
 )
 def f2(spark, sf):
-    lines = marketplace_lines(spark, sf)
+    lines = marketplace_lines(spark, sf, "1998-12-20", "1999-01-10")
     return rollups.by_week_and_revenue(rollups.weekly_rollup(lines, "1998-12-20", "1999-01-10"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, functions as F
 
 from tillmetrics.fixed import REPORT_TIME_ZONE
@@ -35,6 +37,21 @@ def iso_day(text: Column) -> Column:
     )
 
 
+def written_between(text: Column, start: str | None, end: str | None) -> Column:
+    """Whether an ISO-8601 text lies on a day from ``start`` to ``end``, as written.
+
+    A comparison of texts, which Spark hands to the statistics of Parquet files. It
+    is right for ISO texts only; use it in front of a filter on the parsed day.
+    """
+    wanted = F.lit(True)
+    if start is not None:
+        wanted = text >= start
+    if end is not None:
+        after = date.fromisoformat(end) + timedelta(days=1)
+        wanted = (wanted & (text < after.isoformat())) if start is not None else text < after.isoformat()
+    return wanted
+
+
 def week_start(day: Column) -> Column:
     return F.date_trunc("week", day).cast("date")
 

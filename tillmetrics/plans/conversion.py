@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillmetrics.fixed import UNKNOWN_CATALOG_PRODUCT
-from tillmetrics.functions.dates import period_array
+from tillmetrics.functions.dates import period_array, written_between
 from tillmetrics.functions.num import conversion_rate
 from tillmetrics.operators.lookups import with_lookups
 
@@ -38,27 +38,35 @@ def _between(day: Column, start: str, end: str) -> Column:
     return day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
 
 
-def units_by_offer(offers: DataFrame, orders: DataFrame, start: str, end: str) -> DataFrame:
+def _in_range(orders: DataFrame, start: str, end: str, iso_text: bool) -> DataFrame:
+    if iso_text:
+        orders = orders.filter(written_between(F.col("order_placed_at"), start, end))
+    return orders.filter(_between(_order_day(orders), start, end))
+
+
+def units_by_offer(
+    offers: DataFrame, orders: DataFrame, start: str, end: str, iso_text: bool = False
+) -> DataFrame:
     """Units per offer in a date range, 0 for offers without orders.
 
+    ``iso_text``: order moments are ISO texts, so that files of other days are skipped.
+
     Orders shrink to one row per EAN before they meet the offers. Offers that
     share an EAN are each credited with all of its units.
     """
-    per_ean = (
-        orders.filter(_between(_order_day(orders), start, end))
-        .groupBy("ean")
-        .agg(F.sum("quantity").alias("_units"))
-    )
+    per_ean = _in_range(orders, start, end, iso_text).groupBy("ean").agg(F.sum("quantity").alias("_units"))
     wanted = offers.filter(F.col("offer_id").isNotNull()).select("offer_id", "ean")
     joined = with_lookups(wanted, "ean", per_ean, spread_by=["offer_id"])
     return joined.groupBy("offer_id").agg(F.coalesce(F.sum("_units"), F.lit(0)).alias("units_sold"))
 
 
-def daily_units_by_offer(offers: DataFrame, orders: DataFrame, start: str, end: str) -> DataFrame:
-    """Units per offer and day; only days with orders."""
+def daily_units_by_offer(
+    offers: DataFrame, orders: DataFrame, start: str, end: str, iso_text: bool = False
+) -> DataFrame:
+    """Units per offer and day; only days with orders. ``iso_text`` as in ``units_by_offer``."""
     day = _order_day(orders)
     per_ean_day = (
-        orders.filter(_between(day, start, end))
+        _in_range(orders, start, end, iso_text)
         .groupBy("ean", day.alias("order_date"))
         .agg(F.sum("quantity").alias("_units"))
     )

@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tillmetrics.functions.dates import written_between
+
 
 def _present(df: DataFrame, columns: list[str]) -> list[str]:
     return [c for c in columns if c in df.columns]
 
 
-def marketplace_orders(raw: DataFrame) -> DataFrame:
-    """Keys given, quantity and price above zero, order moment as a timestamp."""
+def marketplace_orders(raw: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Keys given, quantity and price above zero, order moment as a timestamp.
+
+    ``start``, ``end``: the first and last day of interest, where the raw moments are
+    ISO texts. They spare the scan of other days and are no exact filter.
+    """
+    if start is not None or end is not None:
+        raw = raw.filter(written_between(F.col("order_placed_at"), start, end))
     columns = _present(raw, [
         "order_id", "order_item_id", "order_placed_at", "fulfillment_method", "ean", "title",
         "quantity", "unit_price", "total_price", "commission", "fetched_at",
