@@ -77,11 +77,14 @@ def marketplace_profitability(
     )
 
 
-def webshop_profitability(items: DataFrame, orders: DataFrame, costs: DataFrame) -> DataFrame:
+def webshop_profitability(
+    items: DataFrame, orders: DataFrame, costs: DataFrame, listed_name: bool = True
+) -> DataFrame:
     """Margin, revenue and profit of every web-shop line item.
 
     The affiliate fee applies to orders that came through a landing site. Ad
-    cost is shown but not part of the margin.
+    cost is shown but not part of the margin. ``listed_name=False`` names a product
+    as the order line does, whatever the cost list says.
     """
     lines = with_lookups(
         items.select("order_id", "line_item_id", "sku", "name", "quantity", "price", "total_discount"),
@@ -105,7 +108,7 @@ def webshop_profitability(items: DataFrame, orders: DataFrame, costs: DataFrame)
         "line_item_id",
         "date",
         "_referred",
-        "coalesce(_listed_name, name) as product_name",
+        ("coalesce(_listed_name, name)" if listed_name else "name") + " as product_name",
         "sku",
         "quantity as units_sold",
         "(price * quantity - total_discount) / nullif(quantity, 0) as selling_price",
