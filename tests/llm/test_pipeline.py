@@ -76,6 +76,29 @@ def test_run_is_the_stages(spark, tmp_path):
     assert sorted(corpus_pipeline.run(spark, str(tmp_path)).collect()) == sorted(frame.collect())
 
 
+def test_odd_rows_pass_every_stage(spark, tmp_path):
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(None, long), (1, None), (2, ""), (3, long), (3, long), (4, long + " x"), (5, "a b c d e f g h i j k")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, node long, _doc string, _place string"
+    frame = spark.createDataFrame([(i, t, None, None, None, 7, "d", "p") for i, t in rows], schema)
+    spark.createDataFrame([(5, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet"
+    )
+    want = {
+        "toxicity": [None, 1, 2, 3, 3, 4, 5],
+        "quality_rules": [None, 3, 3, 4, 5],
+        "line_dedup": [None, 3, 3, 4, 5],
+        "near_copies": [None, 3, 5],
+    }
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, str(tmp_path))
+        assert frame.columns == [c.split()[0] for c in schema.split(", ")]
+        assert sorted((r.doc_id for r in frame.collect()), key=lambda i: i or -1) == want[name]
+        assert {(r.node, r._doc, r._place) for r in frame.collect()} == {(7, "d", "p")}
+    packed = corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path)).collect()
+    assert {r.doc_id for r in packed} == {None, 3, 5}
+
+
 def test_empty_documents(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
