@@ -1,4 +1,4 @@
-"""Hand this package to the executors, so that their Python workers can import it."""
+"""What the Python side of the operators needs of a session."""
 
 from __future__ import annotations
 
@@ -9,11 +9,19 @@ import tempfile
 import tillmetrics
 from pyspark.sql import SparkSession
 
+#: Texts are long, so batches to Python are bounded by bytes, not by rows alone.
+BATCH_BYTES = "4m"
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Add the package to the session's Python files, once per application."""
+    """Bound the session's Arrow batches, unless it does so itself, and add this package to
+    its Python files, once per application, so that the executors' workers can import it.
+    """
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
