@@ -69,6 +69,31 @@ def test_pieces_match_plain_viterbi():
     assert [model.decode(g) for g in got] == values
 
 
+def test_pieces_score_as_the_library_s_lattice(spark):
+    """The library, told to take the pieces as a unigram model, finds no better path in its lattice."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(MODEL, "rb") as f:
+        model.ParseFromString(f.read())
+    model.trainer_spec.model_type = 1
+    library = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    lines = [x[:120] for r in rows for x in r.text.split("\n") if x][:300]
+
+    def score(ids):
+        return sum(library.get_score(int(i)) for i in ids)
+
+    compared = 0
+    for line, ids in zip(lines, block_ids(lines, pieces.Encoder(MODEL)), strict=True):
+        theirs = score(library.nbest_encode_as_ids(line, 2)[0])
+        if theirs > -1e7:  # beyond it the library's 32-bit sums are not exact
+            assert score(ids) == theirs
+            compared += 1
+    assert compared > 150
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.text(max_size=40), min_size=1, max_size=5))
 def test_pieces_round_trip(values):
