@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillmetrics.session import scratch_path
+
 #: log2 of the sketch's registers; its relative error is about 1.04 / sqrt(2**12).
 SKETCH_BITS = 12
 #: Estimates within this share of the threshold are counted exactly (over 10 standard errors).
@@ -80,7 +82,10 @@ def remove_boilerplate(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(site_col).alias("site")
     ).select("doc_id", F.xxhash64("text").alias("version"), "site", F.explode(F.array_distinct(split)).alias("line"))
     lines = work.filter(_has_text(F.col("line"))).select("doc_id", "version", "site", line_key(F.col("line")).alias("key"))
-    spread = spread_lines(lines.select("key", "doc_id", "site"), min_sites)
+    path = scratch_path(docs.sparkSession, "spread_lines")
+    spread_lines(lines.select("key", "doc_id", "site"), min_sites).write.parquet(path)
+    # Read as a table of its own, so that Spark can split the lines of a very common key in the join.
+    spread = docs.sparkSession.read.parquet(path)
     hits = lines.select("doc_id", "version", "key").join(spread, "key")
     if keep_first:
         hits = hits.filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
