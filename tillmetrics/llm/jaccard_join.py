@@ -278,7 +278,9 @@ def candidate_edges(reps: DataFrame, threshold: float, scratch: str) -> DataFram
         judged = spark.read.parquet(near_path)
         # Only where the leader stands for most of its bucket; elsewhere all go on.
         dense = judged.filter("near = 2").groupBy("path", "size").agg(F.count("*").alias("core"))
-        dense = dense.filter("core * 2 >= size").select("path")
+        dense.filter("core * 2 >= size").select("path").write.parquet(f"{scratch}/dense{level}")
+        # A table of known size: where it is small, the hot buckets' rows need no shuffle.
+        dense = spark.read.schema("path long").parquet(f"{scratch}/dense{level}")
         settled = judged.filter("near > 0 and rep != leader").join(dense, "path", "left_semi")
         add(settled.select(F.col("rep").alias("a"), F.col("leader").alias("b")))
         rest = judged.filter("near < 2").unionByName(judged.filter("near = 2").join(dense, "path", "left_anti"))
