@@ -212,7 +212,7 @@ def fit(
     if not (label == 1).any():
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.full(grades, 60.0))
     lengths = got.column("keys").combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
-    rows = np.repeat(np.arange(len(label)), lengths)
+    rows = np.repeat(np.arange(len(label), dtype=np.int32), lengths)
     keys = got.column("keys").combine_chunks().flatten().to_numpy().view(np.uint64)
     times = got.column("times").combine_chunks().flatten().to_numpy()
     bad = label == 1
@@ -221,7 +221,10 @@ def fit(
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.full(grades, 60.0))
     at = np.minimum(np.searchsorted(chosen, keys), len(chosen) - 1)
     kept = chosen[at] == keys
-    rows, at, times = rows[kept], at[kept], times[kept]
+    rows, at, times = rows[kept], at[kept].astype(np.int32), times[kept]
+    # Most features of the sample were not chosen; the driver needs them no more.
+    del got, keys, kept, lengths
+    pa.default_memory_pool().release_unused()
     grade = derived_grades(rows, at, times, len(chosen), bad, grades)
     got_of = {c: max(1, int((label == c).sum())) for c in (0, 1)}
     weight = np.where(bad, counts[1] / got_of[1], counts.get(0, 0) / got_of[0])
