@@ -255,8 +255,12 @@ def candidate_edges(reps: DataFrame, threshold: float, scratch: str) -> DataFram
         sizes = light.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1")
         with_sizes = light.join(sizes, "path")
         path = f"{scratch}/level{level}"
-        with_sizes.join(reps.select("rep", "sketch", "tokens"), "rep").withColumn(
-            "tokens", F.when(F.col("size") > SMALL_BUCKET, F.col("tokens"))
+        # Of a set's tokens only its children in a large bucket go along, about BRANCH numbers.
+        chosen = F.filter("tokens", lambda t: _unit(F.xxhash64("path", t)) < BRANCH / F.size("tokens"))
+        children = F.transform(chosen, lambda t: F.xxhash64(t, "path"))
+        split = (F.col("size") > SMALL_BUCKET) if level < LEVELS else F.lit(False)
+        with_sizes.join(reps.select("rep", "sketch", "tokens"), "rep").select(
+            "path", "size", "rep", "sketch", F.when(split, children).alias("children")
         ).write.parquet(path)
         rows = spark.read.parquet(path)
         total = rows.agg(
@@ -267,7 +271,7 @@ def candidate_edges(reps: DataFrame, threshold: float, scratch: str) -> DataFram
         if total[1] == 0:
             break
         # Large buckets: whatever is close to the bucket's leader is done with.
-        large = rows.filter(F.col("size") > SMALL_BUCKET).select("path", "size", "rep", "sketch", "tokens")
+        large = rows.filter(F.col("size") > SMALL_BUCKET)
         leaders = large.groupBy("path").agg(
             F.min("rep").alias("leader"), F.min_by("sketch", "rep").alias("leader_sketch")
         )
@@ -284,13 +288,8 @@ def candidate_edges(reps: DataFrame, threshold: float, scratch: str) -> DataFram
         settled = judged.filter("near > 0 and rep != leader").join(dense, "path", "left_semi")
         add(settled.select(F.col("rep").alias("a"), F.col("leader").alias("b")))
         rest = judged.filter("near < 2").unionByName(judged.filter("near = 2").join(dense, "path", "left_anti"))
-        rest = rest.select("path", "rep", "sketch", "tokens")
         if level < LEVELS:
-            child = F.filter(
-                "tokens",
-                lambda t: _unit(F.xxhash64("path", t)) < BRANCH / F.size("tokens"),
-            )
-            light = rest.select("rep", F.explode(F.transform(child, lambda t: F.xxhash64(t, "path"))).alias("path"))
+            light = rest.select("rep", F.explode("children").alias("path"))
             light.distinct().write.parquet(f"{scratch}/split{level}")
             light = spark.read.parquet(f"{scratch}/split{level}")
         else:
