@@ -103,9 +103,13 @@ def weekly_files(spark: SparkSession, path: str | list[str], channel: str = "mar
     ).filter("file_start <> ''")
 
 
-def conversion_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Conversion export: quoted fields, doubled quotes, all text, missing as ''."""
-    return sales_csv(spark, path).na.fill("")
+def conversion_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Conversion export: quoted fields, doubled quotes, all text, missing as ''.
+
+    Product names may hold line breaks; exports known to have none are split among
+    tasks with ``multi_line=False``.
+    """
+    return sales_csv(spark, path, multi_line).na.fill("")
 
 
 def table_counts(spark: SparkSession, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
