@@ -98,6 +98,22 @@ def test_repetition_verdict_and_filter(texts):
     assert long == {1: 0, 2: 51, 3: 0}
 
 
+def test_each_repetition_limit_rejects_alone(texts):
+    words = [f"w{i}" for i in range(600)]
+    # Three repeats of 12 words: 72 of 636 words, over a tenth; none is long.
+    many = words + words[:12] + ["x"] + words[20:32] + ["y"] + words[40:52]
+    # One of 28 in 628 words: 56 words, below a tenth, but over 4 % of the text.
+    one = words + words[100:128] + ["z"]
+    rows = [(1, " ".join(words)), (2, " ".join(many)), (3, " ".join(one)), (4, " ".join(words + words[:8])), (5, "short")]
+    rules = repetition.repetition_rules(texts(rows))
+    got = {r.doc_id: r for r in rules.collect()}
+    assert {i for i, r in got.items() if r.kept} == {1, 4}
+    assert {i for i, r in got.items() if r.base_failed} == {5}
+    assert sorted(r.doc_id for r in repetition.drop_repetitive(texts(rows)).collect()) == [1, 4]
+    counts = repetition.rejections(rules).first().asDict()
+    assert counts == {"rows": 5, "base": 1, "covered": 1, "longest": 1, "covered_only": 1, "longest_only": 1}
+
+
 def _labelled(n):
     rng = random.Random(3)
     good = [f"word{i} " for i in range(300)]

@@ -73,7 +73,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.repetition_rules(_table(spark, sf_dir, "documents")).drop("longest_repeat")
+    # The limits that the query's SQL states; the pipeline has the operator's own.
+    rules = repetition.repetition_rules(_table(spark, sf_dir, "documents"), 8, 0.2, 50, 1.0)
+    return rules.drop("longest_repeat")
 
 
 QUERIES: dict[str, Query] = {

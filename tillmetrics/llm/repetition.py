@@ -23,6 +23,14 @@ from .ship import ship
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
 
+#: Limits of this method, below what the base rule allows already (20 % of the words in
+#: repeats of 5 words or more, which holds all repeats of 8). Half of that in longer
+#: repeats, which hardly come about by chance, is copied text.
+MAX_COVERED = 0.1
+MAX_LONGEST = 50
+#: A passage found twice covers twice its words, so MAX_COVERED alone lets it take 5 %.
+MAX_SHARE = 0.04
+
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
     " covered_words long, longest_repeat long, base_failed boolean, kept boolean"
@@ -139,30 +147,63 @@ def measure(block: TextBlock, repeat_words: int) -> dict[str, np.ndarray]:
     }
 
 
-def verdict(m: dict[str, np.ndarray], max_covered: float, max_longest: int) -> tuple[np.ndarray, np.ndarray]:
+def verdict(
+    m: dict[str, np.ndarray], max_covered: float, max_longest: int, max_share: float, repeat_words: int
+) -> tuple[np.ndarray, np.ndarray]:
     """(base_failed, kept) for the measures of a block."""
     failed = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
-    varied = (m["covered_words"] <= max_covered * m["n_words"]) & (m["longest_repeat"] <= max_longest)
+    longest = np.minimum(max_longest, np.maximum(repeat_words, max_share * m["n_words"]))
+    varied = (m["covered_words"] <= max_covered * m["n_words"]) & (m["longest_repeat"] <= longest)
     return failed, ~failed & varied
 
 
+def rejections(
+    rules: DataFrame,
+    repeat_words: int = 8,
+    max_covered: float = MAX_COVERED,
+    max_longest: int = MAX_LONGEST,
+    max_share: float = MAX_SHARE,
+) -> DataFrame:
+    """One row from the rows of `repetition_rules`: how many each limit rejects.
+
+    base: rows that fail the base rule. Of the others, covered: over the fraction;
+    longest: over the longest repeat; covered_only, longest_only: over one alone.
+    """
+    covered = F.col("covered_words") > F.lit(max_covered) * F.col("n_words")
+    scaled = F.greatest(F.lit(float(repeat_words)), F.lit(max_share) * F.col("n_words"))
+    longest = F.col("longest_repeat") > F.least(F.lit(float(max_longest)), scaled)
+    passed = ~F.col("base_failed")
+    return rules.agg(
+        F.count("*").alias("rows"),
+        F.count_if("base_failed").alias("base"),
+        F.count_if(passed & covered).alias("covered"),
+        F.count_if(passed & longest).alias("longest"),
+        F.count_if(passed & covered & ~longest).alias("covered_only"),
+        F.count_if(passed & longest & ~covered).alias("longest_only"),
+    )
+
+
 def drop_repetitive(
     docs: DataFrame,
     repeat_words: int = 8,
-    max_covered: float = 0.2,
-    max_longest: int = 50,
+    max_covered: float = MAX_COVERED,
+    max_longest: int = MAX_LONGEST,
+    max_share: float = MAX_SHARE,
     *,
     text_col: str = "text",
 ) -> DataFrame:
     """The rows of docs, all columns, that `repetition_rules` keeps."""
-    return filter_by_text(docs, text_col, lambda b: verdict(measure(b, repeat_words), max_covered, max_longest)[1])
+    return filter_by_text(
+        docs, text_col, lambda b: verdict(measure(b, repeat_words), max_covered, max_longest, max_share, repeat_words)[1]
+    )
 
 
 def repetition_rules(
     docs: DataFrame,
     repeat_words: int = 8,
-    max_covered: float = 0.2,
-    max_longest: int = 50,
+    max_covered: float = MAX_COVERED,
+    max_longest: int = MAX_LONGEST,
+    max_share: float = MAX_SHARE,
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -173,7 +214,9 @@ def repetition_rules(
     or more. longest_repeat: words of the longest repeat. base_failed: fewer than
     10 words, or more than 20 % of the words in five-word windows found twice.
     kept: not base_failed, covered_words at most `max_covered` of the words and
-    longest_repeat at most `max_longest`.
+    longest_repeat at most `max_longest` and at most `max_share` of the words (a
+    repeat of up to `repeat_words` words passes in a text of any length).
+    `rejections` counts what each limit rejects.
 
     Null and empty texts have no words, all counts 0, and fail the base rule.
     Repeated rows and ids give one row each. Other columns are ignored, so their
@@ -192,7 +235,7 @@ def repetition_rules(
         for batch in batches:
             for lo, hi, block in text_blocks(batch.column(1)):
                 m = measure(block, repeat_words)
-                failed, kept = verdict(m, max_covered, max_longest)
+                failed, kept = verdict(m, max_covered, max_longest, max_share, repeat_words)
                 columns = [batch.column(0).slice(lo, hi - lo), *m.values(), failed, kept]
                 yield pa.RecordBatch.from_arrays(
                     [c if isinstance(c, pa.Array) else pa.array(c) for c in columns], schema=fields
