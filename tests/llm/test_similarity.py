@@ -90,6 +90,26 @@ def test_embedding_dedup_matches_all_pairs(spark, vectors, monkeypatch):
     assert embedding_dedup.near_copies(rows.limit(0)).count() == 0
 
 
+def test_lone_pairs_in_a_narrow_cone(spark, monkeypatch):
+    # Mean cosine 0.9: signs of the vectors themselves hardly split the label.
+    monkeypatch.setattr(embedding_dedup, "WINDOW", 4)
+    rng = np.random.default_rng(3)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    base = unit(unit(rng.normal(size=(1, 32))) * 3 + unit(rng.normal(size=(1200, 32))))
+    other = rng.normal(size=(100, 32))
+    other = unit(other - (other * base[:100]).sum(1, keepdims=True) * base[:100])
+    partner = 0.981 * base[:100] + np.sqrt(1 - 0.981**2) * other
+    rows = [(i, [float(x) for x in v], 0) for i, v in enumerate(np.concatenate([base, partner]))]
+    got = embedding_dedup.near_copies(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    links = plain_vector_links(rows)
+    assert {(i, 1200 + i) for i in range(100)} <= {(min(a, b), max(a, b)) for a, b in links}
+    roots = plain_components(range(len(rows)), links)
+    assert {r.vec_id: r.component_id for r in got.collect()} == roots
+
+
 def test_passes_grow_with_the_data():
     few, many = (embedding_dedup.passes_needed(n, 0.98) for n in (1000, 10**9))
     assert 2 <= few < many < 200
