@@ -231,6 +231,21 @@ def test_line_dedup_matches_brute_force(texts, keep_first):
     assert line_dedup.remove_boilerplate(texts([])).count() == 0
 
 
+def test_passages_on_few_sites_and_clean_documents(texts):
+    def passage(name):
+        return " ".join(f"{name}{i}" for i in range(55))
+
+    # A passage in 12 documents on 6 sites, one in 30 on 9; copies of four documents stay.
+    rows = [(i, f"own {i}\n{passage('p')}", f"s{i % 6}") for i in range(12)]
+    rows += [(100 + i, f"own {100 + i}\n{passage('q')}", f"s{i % 9}") for i in range(30)]
+    rows += [(200 + i, f"{passage('r')}\nclean", f"s{i}") for i in range(4)]
+    got = {r.doc_id: r.text for r in line_dedup.remove_boilerplate(texts(rows)).collect()}
+    before = {i: t for i, t, _ in rows}
+    changed = [i for i in got if got[i] != before[i]]
+    assert sorted(changed) == [*range(1, 12), *range(101, 130)]
+    assert all(got[i] == f"own {i}" for i in changed)
+
+
 def test_line_dedup_near_threshold_is_exact(texts):
     rows = [(i, "nine sites\n" * 2 + "ten sites", f"s{i % 9}") for i in range(90)] + [(90, "ten sites", "s9")]
     got = {r.doc_id: r.text for r in line_dedup.remove_boilerplate(texts(rows), 10, keep_first=False).collect()}

@@ -67,7 +67,8 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return line_dedup.remove_boilerplate(docs, report="lines").select(
+    # The number of sites that the query's SQL states; the pipeline has the operator's own.
+    return line_dedup.remove_boilerplate(docs, 10, report="lines").select(
         "doc_id", "lines.n_lines", "lines.n_removed", F.md5("text").alias("text_md5")
     )
 
