@@ -191,6 +191,17 @@ def test_packing(spark, texts, monkeypatch):
     assert packing.pack(texts([]), BPE).count() == 0
 
 
+def test_one_id_does_not_fill_a_lot(texts, monkeypatch):
+    monkeypatch.setattr(packing, "LOT_PARTS", 40)
+    rows = [(None, f"no id {i}") for i in range(400)] + [(7, "seven")] * 400
+    got = packing.pack(texts(rows), BPE).collect()
+    assert sum(r.doc_id is None for r in got) == sum(r.doc_id == 7 for r in got) == 400
+    lots = {}
+    for r in got:
+        lots[r.sequence_id >> 32] = lots.get(r.sequence_id >> 32, 0) + 1
+    assert max(lots.values()) < 100
+
+
 def test_sequences_hold_all_ids(texts):
     rows = [(i, f"some words {i} " * (i * 9)) for i in range(40)]
     packed = packing.pack(texts(rows), BPE, with_ids=True).cache()

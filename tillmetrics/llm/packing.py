@@ -182,17 +182,20 @@ def fill_windows(sizes: np.ndarray, capacity: int) -> np.ndarray:
 def assign_windows(pieces: DataFrame, window: int = 1024) -> DataFrame:
     """pieces with sequence_id and offset; `pieces` must give the same rows whenever read.
 
-    A lot takes what hashes to it; the number of lots follows the number of pieces.
+    `_piece`, a number of its own for each row, is stored with the pieces and left out of
+    the result. A lot takes the rows whose number hashes to it, so that no id fills a
+    lot; the number of lots follows the number of pieces.
     An empty table gives an empty result.
     """
     ship(pieces.sparkSession)
     lots = max(1, pieces.count() // LOT_PARTS)
-    names = [*pieces.columns, "sequence_id", "offset"]
+    kept = [f for f in pieces.schema if f.name != "_piece"]
+    names = [*(f.name for f in kept), "sequence_id", "offset"]
 
     def work(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         lot = table.column("_lot")[0].as_py()
-        table = table.drop_columns(["_lot"]).sort_by([("doc_id", "ascending"), ("start", "ascending")])
+        table = table.drop_columns(["_lot"]).sort_by([(c, "ascending") for c in ("doc_id", "start", "_piece")])
         sizes = table.column("length").to_numpy()
         whole = sizes == window
         place = np.empty(len(sizes), np.int64)
@@ -208,8 +211,8 @@ def assign_windows(pieces: DataFrame, window: int = 1024) -> DataFrame:
         table = table.append_column("sequence_id", pa.array(lot * (1 << 32) + place))
         return table.append_column("offset", pa.array(offset)).select(names)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    lot = F.pmod(F.xxhash64("doc_id", "start"), F.lit(lots))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    lot = F.pmod(F.xxhash64("_piece"), F.lit(lots))
     return pieces.withColumn("_lot", lot).groupBy("_lot").applyInArrow(work, f"{fields}, sequence_id long, offset long")
 
 
@@ -233,7 +236,8 @@ def pack(
     """
     spark = docs.sparkSession
     scratch = scratch_path(spark, "pieces")
-    token_pieces(docs, path, window, part, end_id, with_ids, id_col=id_col, text_col=text_col).write.parquet(scratch)
+    cut = token_pieces(docs, path, window, part, end_id, with_ids, id_col=id_col, text_col=text_col)
+    cut.withColumn("_piece", F.monotonically_increasing_id()).write.parquet(scratch)
     return assign_windows(spark.read.parquet(scratch), window)
 
 
