@@ -48,6 +48,15 @@ def test_weekly_files_by_name(spark, rows, tmp_path):
     assert got == [("1", "2026-01-05", 2)]
 
 
+def test_weekly_files_with_line_breaks(spark, rows, tmp_path):
+    head = "Week,Date Range,Product,EAN,Units_Sold\n"
+    text = head + 'Week 2,r,"Chair\nblue",007,3\nWeek 2,r,Lamp,008,4\n'
+    put(tmp_path, "profitability_2026-01-05_to_2026-01-11_Week02.csv", text)
+    want = [("Chair\nblue", "007", "3", 2), ("Lamp", "008", "4", 2)]
+    assert rows(files.weekly_files(spark, str(tmp_path)), "Product", "EAN", "Units_Sold", "file_week") == want
+    assert files.weekly_files(spark, str(tmp_path), multi_line=False).count() == 3
+
+
 def test_conversion_csv_quotes_and_line_breaks(spark, tmp_path):
     path = put(tmp_path, "c.csv", 'offer_id,product_name,ean\n1,"a ""b"", c\nd",\n2,x\n')
     got = [tuple(r) for r in files.conversion_csv(spark, path).orderBy("offer_id").collect()]

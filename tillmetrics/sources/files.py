@@ -85,16 +85,19 @@ def sales_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def weekly_files(spark: SparkSession, path: str | list[str], channel: str = "marketplace") -> DataFrame:
+def weekly_files(
+    spark: SparkSession, path: str | list[str], channel: str = "marketplace", multi_line: bool = True
+) -> DataFrame:
     """All weekly files as one relation, columns by position, with the week of the name.
 
     Works for files and for folders of part files named alike; other names are
-    left out.
+    left out. Product names may hold line breaks; files known to have none are split
+    among tasks with ``multi_line=False``.
     """
     pattern, order = (
         (WEBSHOP_WEEK_FILE, (2, 3, 1)) if channel == "webshop" else (MARKETPLACE_WEEK_FILE, (1, 2, 3))
     )
-    rows = sales_csv(spark, path)
+    rows = sales_csv(spark, path, multi_line)
     where = F.col("_metadata.file_path")
     start, end, week = (F.regexp_extract(where, pattern, i) for i in order)
     return rows.select(
