@@ -259,6 +259,16 @@ def test_reader_is_sequential_and_strict():
         list(warc.read_records(io.BytesIO(gzip.compress(raw + b"more"))))
 
 
+def test_very_long_url():
+    url = "http://a/" + "".join(chr(97 + i * i % 23) for i in range(3 << 20))
+    data = warc.record(1, url, b"x", None) + warc.record(2, "http://b", b"y", None)
+    found = list(warc.read_records(io.BytesIO(data), keep_payload=True))
+    assert [r["warc-target-uri"] for r in found] == [url, "http://b"]
+    assert [r["payload"] for r in found] == [b"x", b"y"] and all(r["digest_ok"] for r in found)
+    with pytest.raises(ValueError):
+        list(warc.read_records(io.BytesIO(gzip.compress(b"WARC/1.1\r\nX: " + b"x" * 100_000))))
+
+
 def plain_dialogue(turns, who):
     text, spans = "", []
     key = lambda t: (t[0] is not None, t[0] or 0, t[1] is not None, t[1] or "", t[2] or "")

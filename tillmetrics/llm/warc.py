@@ -2,7 +2,7 @@
 
 Tasks write to files of their own in the shared folder; a file counts only when
 its task ends well and lists it in the manifest, so a task that is run again
-leaves no trace. The reader never holds more than a chunk of a record: it
+leaves no trace. The reader never holds more than the head and a chunk of a record: it
 decompresses step by step, frames the block by its Content-Length and digests it
 on the way.
 """
@@ -29,7 +29,7 @@ from .ship import ship
 #: A file is closed once it holds this many bytes.
 ARCHIVE_BYTES = 64 << 20
 CHUNK = 1 << 16
-#: Longest accepted head of a record.
+#: Longest accepted HTTP head in a record's block; the writer's is of one size.
 HEAD_BYTES = 1 << 20
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -98,12 +98,17 @@ class _Member:
                 return True
         return False
 
-    def until(self, mark: bytes, most: int) -> bytes:
-        while mark not in self.ready:
-            if len(self.ready) > most or not self.more():
+    def until(self, mark: bytes) -> bytes:
+        """What stands before `mark`, of any length, as the writer puts whole urls there."""
+        head, self.ready, seen = bytearray(self.ready), b"", 0
+        while (at := head.find(mark, seen)) < 0:
+            seen = max(0, len(head) - len(mark) + 1)
+            if not self.more():
                 raise ValueError("a record's head has no end")
-        head, _, self.ready = self.ready.partition(mark)
-        return head
+            head += self.ready
+            self.ready = b""
+        self.ready = bytes(head[at + len(mark) :])
+        return bytes(head[:at])
 
     def chunks(self, n: int) -> Iterator[bytes]:
         while n:
@@ -124,7 +129,7 @@ def read_records(source: BinaryIO, keep_payload: bool = False) -> Iterator[dict]
     rest = source.read(CHUNK)
     while rest:
         member = _Member(source, rest)
-        lines = member.until(b"\r\n\r\n", HEAD_BYTES).split(b"\r\n")
+        lines = member.until(b"\r\n\r\n").split(b"\r\n")
         if lines[0] != VERSION:
             raise ValueError(f"not a record: {lines[0][:40]!r}")
         head = {}
