@@ -1,4 +1,4 @@
-"""The ten operators as queries over the benchmark tables."""
+"""The operators as queries over the benchmark tables."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
+    centroids,
     embedding_dedup,
     jaccard_join,
     line_dedup,
@@ -19,11 +21,20 @@ from . import (
     repetition,
     sql,
     toxicity,
+    url_filter,
     warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The rules that op11's contract states.
+URL_RULES = [
+    url_filter.Rule("block", "net/"),
+    url_filter.Rule("allow", "example.net/en/"),
+    url_filter.Rule("block", "example.com/de/"),
+    url_filter.Rule("allow", "org/fr/"),
+]
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -79,6 +90,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.drop("longest_repeat")
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(centroids.cluster(_table(spark, sf_dir, "embeddings")))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(_table(spark, sf_dir, "documents"), a, b)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -92,6 +116,9 @@ QUERIES: dict[str, Query] = {
         op8_chat_formatting,
         op9_line_dedup,
         op10_quality_rules,
+        op11_url_filters,
+        op12_centroid_clustering,
+        op13_tokenizer_alignment,
     )
 }
 SQL: dict[str, str] = {k: v for k, v in sql.SQL.items() if k in QUERIES}

@@ -135,6 +135,56 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, cove
 FROM counted
 """
 
+
+
+def _op12(k: int = 8, rounds: int = 10) -> str:
+    """Every round as two steps: a{t} assigns the vectors to the centroids c{t}, c{t+1} replaces them."""
+    steps = [
+        r"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+)""",
+        r"""parts AS MATERIALIZED (SELECT r, unnest(range(1, 65)) AS i, unnest(v) AS x FROM kept)""",
+        f"""starts AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)) NULLS LAST, v) - 1 AS c, v FROM kept
+  QUALIFY c < {k}
+)""",
+        r"""c0 AS MATERIALIZED (SELECT c, unnest(range(1, 65)) AS i, unnest(v) AS x FROM starts)""",
+    ]
+    for t in range(rounds + 1):
+        steps.append(
+            f"""a{t} AS MATERIALIZED (
+  SELECT r, arg_min(c, d * {k} + c) AS c, min(d) AS d FROM (
+    SELECT p.r, q.c, CAST(sum((p.x - q.x) * (p.x - q.x)) AS BIGINT) AS d
+    FROM parts p JOIN c{t} q ON p.i = q.i GROUP BY p.r, q.c)
+  GROUP BY r
+)"""
+        )
+        if t < rounds:
+            steps.append(
+                f"""c{t + 1} AS MATERIALIZED (
+  SELECT o.c, o.i, coalesce(m.x, o.x) AS x FROM c{t} o LEFT JOIN (
+    SELECT c, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS x
+    FROM (SELECT a.c, p.i, sum(p.x) AS s, count(*) AS n FROM a{t} a JOIN parts p ON a.r = p.r GROUP BY a.c, p.i)
+  ) m ON m.c = o.c AND m.i = o.i
+)"""
+            )
+    return (
+        "WITH "
+        + ", ".join(steps)
+        + f""", shas AS (
+  SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c
+)
+SELECT k.vec_id, CAST(a.c AS INTEGER) AS cluster, a.d AS distance,
+  CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.d) OVER () AS BIGINT) AS inertia, s.centroid_sha256
+FROM kept k JOIN a{rounds} a ON a.r = k.r JOIN shas s ON s.c = a.c"""
+    )
+
+
 SQL = {
     "op1_embedding_near_dedup": OP1,
     "op2_ngram_jaccard_join": OP2,
@@ -142,4 +192,5 @@ SQL = {
     "op8_chat_formatting": OP8,
     "op9_line_dedup": OP9,
     "op10_quality_rules": OP10,
+    "op12_centroid_clustering": _op12(),
 }
