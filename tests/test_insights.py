@@ -35,7 +35,15 @@ def c(code, n, key="total", name="countryCode"):
         ({"offerInsights": ["x", {"countries": [c("NL", 4)]}]}, (4, 0, 4)),
         ({"insights": [3, {"countries": [c("BE", 4)]}], "total": 1}, (0, 4, 4)),
         ({"countries": [True, -1.5e3, "a, [b\"", c("NL", 2)], "name": "x, 1, y"}, (2, 0, 2)),
+        ({"offerInsights": [["x"], c("NL", 9), {"countries": [[c("BE", 8)], c("NL", 4)]}]}, (4, 0, 4)),
+        ({"countries": [[1], [[2]], {}, c("BE", 3), "s", None]}, (0, 3, 3)),
+        ({"items": [[1, {"countries": [c("NL", 5)]}], {"countries": [c("NL", 1)]}]}, (1, 0, 1)),
+        ({"countries": {"countryCode": "NL", "total": 3}, "count": 2}, (0, 0, 2)),
+        ({"total": True, "value": 3}, (0, 0, 3)),  # a truth value is no count
+        ({"total": "4", "value": None, "count": 3.9}, (0, 0, 3)),
+        ('{"total": 1, "total": 5}', (0, 0, 5)),  # the last of a repeated field counts
         ({}, (0, 0, 0)),
+        ([1], (0, 0, 0)),
         ("not json", (0, 0, 0)),
         (None, (0, 0, 0)),
     ],
@@ -72,6 +80,16 @@ def test_daily_series(spark):
     }
 
 
+def test_daily_series_with_odd_elements(spark):
+    days = [[7], {"date": "2024-01-16", "total": 5}, 3, "x", None, {"day": 20240117, "date": "2024-01-18", "total": 1}]
+    assert series(spark, {"days": days}) == {date(2024, 1, 16): (0, 0, 5)}
+    mixed = [1, {"day": 0, "date": None, "timestamp": "2024-01-19", "visits": 4}]
+    assert series(spark, {"days": mixed}) == {date(2024, 1, 19): (0, 0, 4)}
+    nested = {"offerInsights": [[1], {"days": [[{"date": "2024-01-20"}], {"date": "2024-01-21", "total": 2}]}, 4]}
+    assert series(spark, nested) == {date(2024, 1, 21): (0, 0, 2)}
+    assert series(spark, {"days": "x", "periods": {"date": "2024-01-21"}}) == {}
+
+
 def test_daily_series_of_nothing(spark):
     assert series(spark, {"note": 1}) == {}
 

@@ -406,3 +406,42 @@ def p8(spark, sf):
     return insights.daily_series(_series(spark, sf)).select(
         "event_id", "day", "visits_nl", "visits_be", "visits_total"
     )
+
+
+#: Elements that are no objects, before and after those that are.
+_ODD = """'[["x",', k, '],', k, ',"', event_type, '",null,[[', k, ']],true'"""
+
+
+@query(
+    "p7_nested_lists",
+    f"""with e as (select event_id, {_K} as k from events)
+    select event_id, cast(k + 1 as bigint) as visits_nl, cast(2 as bigint) as visits_be,
+        cast(k + 3 as bigint) as visits_total from e""",
+)
+def p7_nested(spark, sf):
+    """Numbers, texts, nulls and lists stand among the objects of every list."""
+    payload = f"""concat('{{"offerInsights":', {_ODD}, ',{{"countries":', {_ODD},
+        ',{{"countryCode":"NL","total":', k, '}}]}},{{"items":', {_ODD},
+        ',{{"country":', {_ODD}, ',{{"country":"be","count":2}}]}}]}}],"country":', {_ODD},
+        ',{{"country":"nl","value":1.9}}]}}')"""
+    events = read(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    documents = events.withColumn("payload", F.expr(payload))
+    return insights.country_visits(documents).select("event_id", "visits_nl", "visits_be", "visits_total")
+
+
+@query(
+    "p8_nested_lists",
+    f"""with e as (select event_id, cast(ts as date) as d, {_K} as k from events)
+    select event_id, d as day, cast(k as bigint) as visits_nl, cast(0 as bigint) as visits_be,
+        cast(k as bigint) as visits_total from e where k > 0
+    union all select event_id, d, 0, 0, 7 from e where k = 0
+    union all select event_id, d + 1, 0, 2, 2 from e""",
+)
+def p8_nested(spark, sf):
+    payload = f"""concat('{{"days":', {_ODD}, ',{{"date":"', string(date(ts)), '","total":7,"countries":', {_ODD},
+        ',{{"countryCode":"NL","total":', k, '}}]}},{{"day":', k + 1, ',"date":"', string(date(ts)), '"}}],',
+        '"offerInsights":', {_ODD}, ',{{"periods":', {_ODD}, ',{{"timestamp":"', string(date_add(date(ts), 1)),
+        'T10:00:00Z","country":', {_ODD}, ',{{"country":"BE","value":2}}]}}]}}]}}')"""
+    events = read(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    documents = events.withColumn("payload", F.expr(payload))
+    return insights.daily_series(documents).select("event_id", "day", "visits_nl", "visits_be", "visits_total")
