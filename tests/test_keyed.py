@@ -154,6 +154,56 @@ def test_interrupted_load_changes_nothing(spark, rows):
     assert rows(stored.read()) == [("a", 3, 3.0)]
 
 
+def test_table_grows_by_splitting_buckets(spark):
+    stored = KeyedTable(spark, scratch_path(spark, "t"), SCHEMA, ["k"], rows_per_bucket=500)
+    stored.upsert(frame(spark, [("0", 1, 0.0)]), ["n"])
+    assert [r.buckets for r in stored._state().collect()] == [1]
+    many = spark.range(1800).selectExpr("cast(id as string) as k", "cast(2 as int) as n", "cast(id as double) as v")
+    stored.upsert(many, ["n"])
+    state = {r.key_bucket: r for r in stored._state().collect()}
+    assert sorted(state) == [0, 1, 2, 3] and sum(r.rows for r in state.values()) == 1800
+    stored.upsert(frame(spark, [("7", 3, -7.0)]), ["n"])
+    after = {r.key_bucket: r for r in stored._state().collect()}
+    assert sum(after[b].version != state[b].version for b in state) == 1
+    # One bucket more: only the bucket that is split is rewritten, beside those of the new keys.
+    more = spark.range(1800, 2300).selectExpr("cast(id as string) as k", "2 as n", "cast(id as double) as v")
+    stored.upsert(more, ["n"])
+    grown = stored._state().collect()
+    assert {r.buckets for r in grown} == {5} and sum(r.rows for r in grown) == 2300
+    got = {r.k: r.v for r in stored.read().collect()}
+    assert len(got) == 2300 and got["7"] == -7.0 and got["2299"] == 2299.0
+
+
+def test_growth_moves_keys_out_of_one_bucket_only(spark):
+    ids = spark.range(3000)
+    for n in range(1, 9):
+        at = [bucket_of(["id"], m).alias(f"b{m}") for m in (n, n + 1)]
+        moves = {tuple(r) for r in ids.select(*at).distinct().collect() if r[0] != r[1]}
+        assert len(moves) == 1 and next(iter(moves))[1] == n
+
+
+def test_a_key_that_changes_its_part_moves(spark, rows):
+    schema = "id string, month string, v int"
+    stored = KeyedTable(spark, scratch_path(spark, "t"), schema, ["id"], within="month", rows_per_bucket=10)
+    stored.upsert(frame(spark, [(f"k{i}", "jan", i) for i in range(40)] + [(None, "jan", 0)], schema), ["v"])
+    stored.upsert(frame(spark, [("k1", "feb", 100), (None, None, 1), ("new", "mar", 2)], schema), ["v"])
+    got = rows(stored.read())
+    assert len(got) == 42 and ("k1", "feb", 100) in got and (None, None, 1) in got
+    # The places of a load that died before its switch are found again from the rows.
+    stored._index(stored._current(), stored._state()).upsert(
+        frame(spark, [("k2", "p_nowhere")], "id string, place string"), ["place"]
+    )
+    stored.upsert(frame(spark, [("k2", "feb", 200), ("k1", "jan", 300)], schema), ["v"])
+    got = rows(stored.read())
+    assert len(got) == 42 and ("k2", "feb", 200) in got and ("k1", "jan", 300) in got
+
+
+def test_upsert_sends_one_row_per_key_and_task(spark):
+    batch = frame(spark, [(None, i, 1.0) for i in range(9)])
+    plan = keyed.replace_upsert(frame(spark, []), batch, ["k"], ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
 def test_null_keys_twice(spark, rows):
     batch = frame(spark, [(None, 1, 1.0), ("", 1, 2.0), ("a", 1, 3.0)])
     once = keyed.replace_upsert(frame(spark, []), batch, ["k"], ["n"])

@@ -50,6 +50,31 @@ def k1_table(spark, sf):
     return stored.read()
 
 
+def _lines_table(spark: SparkSession, sf: str, name: str, **options) -> KeyedTable:
+    ddl = read(spark, sf, "lineitem")._jdf.schema().toDDL().replace(" NOT NULL", "")
+    return KeyedTable(spark, scratch_path(spark, name), ddl, KEYS, **options)
+
+
+@query("k1_growing_table", f"select * from lineitem qualify {_LAST}")
+def k1_growing(spark, sf):
+    """A first load of one key, then all lines, then one key again: buckets split as the table grows."""
+    lines = read(spark, sf, "lineitem")
+    stored = _lines_table(spark, sf, "growing", rows_per_bucket=5_000)
+    one = lines.filter("l_orderkey = 1")
+    for batch in (one, lines, one):
+        stored.upsert(batch, SEQ, keep_newer=True)
+    return stored.read()
+
+
+@query("k1_changed_part", _REPLACED)
+def k1_changed(spark, sf):
+    """Lines lie by year of shipping; a line that comes again with another year leaves the old one."""
+    stored = _lines_table(spark, sf, "years", within="year(l_shipdate)", rows_per_bucket=20_000)
+    for batch in _batches(spark, sf):
+        stored.upsert(batch, SEQ)
+    return stored.read()
+
+
 @query(
     "k2_metrics_table",
     with_tables(

@@ -34,6 +34,7 @@ def replace_upsert(
     seq: Sequence[str],
     update_columns: Sequence[str] | None = None,
     keep_newer: bool = False,
+    one_per_key: bool = False,
 ) -> DataFrame:
     """Rows of ``old`` with every key found in ``new`` replaced by its last new row.
 
@@ -42,7 +43,11 @@ def replace_upsert(
 
     NULL in a key equals NULL, so loading a batch twice gives the same rows.
     With ``update_columns`` only those columns of an existing row change.
+    ``one_per_key``: ``new`` has one row per key; else it is brought down to that
+    first, so that of a hot key each task sends one row on.
     """
+    if not one_per_key:
+        new = last_per_key(new, keys, seq)
     names = [*old.columns, *[c for c in new.columns if c not in old.columns and c not in seq]]
     if update_columns is None:
         # Old and new rows together, the last new row of a key first; NULL is a key like any other.
@@ -54,7 +59,7 @@ def replace_upsert(
         window = Window.partitionBy(*keys).orderBy(*order)
         ranked = both.withColumn("_rank", F.rank().over(window)).withColumn("_row", F.row_number().over(window))
         return ranked.filter("_rank = 1 and (_new = 0 or _row = 1)").select(*names)
-    newest = last_per_key(new, keys, seq).drop(*[c for c in seq if c not in old.columns])
+    newest = new.drop(*[c for c in seq if c not in old.columns])
     kept_columns = [c for c in old.columns if c not in keys and c not in update_columns]
     left = old.withColumn("_had", F.lit(True)).alias("o")
     right = newest.withColumn("_got", F.lit(True)).alias("n")
