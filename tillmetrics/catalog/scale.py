@@ -16,6 +16,7 @@ from tillmetrics.operators import flatten, keyed
 from tillmetrics.operators.lookups import with_lookups
 from tillmetrics.plans import profitability, staging
 from tillmetrics.session import scratch_path
+from tillmetrics.sinks import exports
 from tillmetrics.sinks.exports import materialize
 from tillmetrics.sinks.tables import KeyedTable
 from tillmetrics.sources import files, landing
@@ -134,6 +135,60 @@ def s6_two(spark, sf):
     return files.marketplace_costs(spark, f"{path}/*")
 
 
+@query(
+    "s7_two_headers",
+    """select cast(p_partkey as varchar) as sku, p_name as product_name,
+        case when p_size > 25 then p_retailprice else 0.0::double end as original_price, cast(p_size as double) as cogs,
+        0.0::double as estimated_ad_cost from part""",
+)
+def s7_two(spark, sf):
+    """Two web-shop cost lists with other columns in another order, read as one."""
+    path, part = scratch_path(spark, "lists"), read(spark, sf, "part")
+    one = part.filter("p_size <= 25").selectExpr("string(p_partkey) as SKU", "p_name as `Product Name`", "string(p_size) as COGS")
+    two = part.filter("p_size > 25").selectExpr(
+        "string(p_size) as cogs", "string(p_retailprice) as originalprice", "string(p_partkey) as sku", "p_name as productname"
+    )
+    one.write.option("header", True).csv(f"{path}/one")
+    two.write.option("header", True).csv(f"{path}/two")
+    return files.webshop_costs(spark, f"{path}/*")
+
+
+@query(
+    "s6_wide_list",
+    """select cast(p_partkey as varchar) as ean, concat(p_name, ', "', p_brand, '"') as product_name,
+        p_retailprice as original_price, cast(p_size as double) as cogs, cast(null as double) as estimated_ad_cost from part""",
+)
+def s6_wide(spark, sf):
+    """A quoted cost list with ninety columns in front of those that count."""
+    path = scratch_path(spark, "wide")
+    filler = [F.lit(f"x, {i}").alias(f"Note {i}") for i in range(90)]
+    rows = read(spark, sf, "part").select(
+        *filler,
+        F.expr("string(p_partkey) as EAN"),
+        F.expr("""concat(p_name, ', "', p_brand, '"') as `Product Name`"""),
+        F.expr("string(p_size) as COGS"),
+        F.expr("string(p_retailprice) as `Original Price`"),
+    )
+    rows.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    return files.marketplace_costs(spark, path)
+
+
+@query(
+    "s8_line_breaks",
+    """select concat(p_name, chr(10), '"', p_brand, '", x', chr(10)) as "Product", lpad(cast(p_partkey as varchar), 13, '0') as "EAN",
+        cast(p_size as varchar) as "Units_Sold" from part""",
+)
+def s8_breaks(spark, sf):
+    """Names with line breaks and quotes, written and read back by the library."""
+    path = scratch_path(spark, "breaks")
+    rows = read(spark, sf, "part").selectExpr(
+        """concat(p_name, '\n"', p_brand, '", x\n') as Product""", "lpad(string(p_partkey), 13, '0') as EAN",
+        "string(p_size) as Units_Sold",
+    )
+    exports.write_csv(rows, path)
+    return files.sales_csv(spark, path)
+
+
 @query(
     "fn_days_and_clock",
     """select event_id, cast(ts as date) as day,

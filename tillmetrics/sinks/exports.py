@@ -62,7 +62,9 @@ def daily_order(rows: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV that reads back as it was: line breaks and outer white space of names stay."""
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, escape='"', **kept).csv(path)
 
 
 def write_summary(summary: DataFrame, path: str) -> None:

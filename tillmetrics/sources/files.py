@@ -38,45 +38,51 @@ def cost_rows(rows: DataFrame, key: str, zero_is_missing: bool) -> DataFrame:
     ).filter(F.col(key) != "")
 
 
-#: Columns a cost list may have; a longer line fails the read.
-COST_COLUMNS = 64
+#: A field of a CSV line with the comma before it: quoted with doubled quotes, or plain.
+_FIELD = r'(?:^|,)("[^"]*+(?:""[^"]*+)*+"(?=,|$)|[^,]*)'
 
 
-def marketplace_costs(spark: SparkSession, path: str) -> DataFrame:
-    """Marketplace cost lists, in which stray tabs stand for commas.
+def _cells(line):
+    """The fields of a CSV line, however many."""
+    fields = F.regexp_extract_all(line, F.lit(_FIELD), 1)
+    quoted = lambda f: F.startswith(f, F.lit('"')) & F.endswith(f, F.lit('"')) & (F.length(f) > 1)
+    bare = lambda f: F.replace(f.substr(F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))
+    return F.transform(fields, lambda f: F.when(quoted(f), bare(f)).otherwise(f))
 
-    Lines are repaired as text and then parsed by Spark's CSV functions. The header
-    of each file is its first line with text, so files may differ in their columns.
-    """
+
+def _cost_lists(spark: SparkSession, path: str, key: str, zero_is_missing: bool, tabs: bool) -> DataFrame:
+    """Cost lists of any width, each read by its own header, which is its first line with text."""
+    line = F.regexp_replace("value", "^\ufeff", "")
     lines = spark.read.text(path).select(
-        tabs_to_commas(F.regexp_replace("value", "^\ufeff", "")).alias("line"),
+        (tabs_to_commas(line) if tabs else line).alias("line"),
         F.col("_metadata.file_path").alias("file"),
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
     ).filter(F.trim("line") != "")
-    schema = ", ".join(f"c{i} string" for i in range(COST_COLUMNS))
-    fields = F.from_csv("line", schema, {"escape": '"'})
-    cells = F.array(*[fields[f"c{i}"] for i in range(COST_COLUMNS)])
-    too_long = F.raise_error(F.lit(f"a line of a cost list has over {COST_COLUMNS} columns"))
-    commas = F.length("line") - F.length(F.replace("line", F.lit(","), F.lit("")))
-    parsed = lines.withColumn("cells", F.when((commas >= COST_COLUMNS) & ~F.col("line").contains('"'), too_long).otherwise(cells))
-    titles = F.transform("cells", lambda c: F.regexp_replace(F.lower(F.trim(F.coalesce(c, F.lit("")))), "[ _]", ""))
-    headers = parsed.groupBy("file").agg(F.min("at").alias("first"), F.min_by("line", "at").alias("header"), F.min_by(titles, "at").alias("titles"))
+    parsed = lines.withColumn("cells", _cells(F.col("line")))
+    titles = F.transform("cells", lambda c: F.regexp_replace(F.lower(F.trim(c)), "[ _]", ""))
+    headers = parsed.groupBy("file").agg(
+        F.min("at").alias("first"), F.min_by("line", "at").alias("header"), F.min_by(titles, "at").alias("titles")
+    )
     rows = parsed.join(headers, "file").filter(F.col("line") != F.col("header"))
-    wanted = ["ean", "productname", *_COST_NUMBERS, "seq"]
+    wanted = [key, "productname", *_COST_NUMBERS, "seq"]
     found = [F.get("cells", F.array_position("titles", w).cast("int") - 1).alias(w) for w in wanted]
-    return cost_rows(rows.select(*found), "ean", zero_is_missing=True).drop("seq")
+    return cost_rows(rows.select(*found), key, zero_is_missing).drop("seq")
+
+
+def marketplace_costs(spark: SparkSession, path: str) -> DataFrame:
+    """Marketplace cost lists, in which stray tabs stand for commas."""
+    return _cost_lists(spark, path, "ean", zero_is_missing=True, tabs=True)
 
 
 def webshop_costs(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.option("header", True).option("escape", '"').csv(path)
-    return cost_rows(rows, "sku", zero_is_missing=False)
+    return _cost_lists(spark, path, "sku", zero_is_missing=False, tabs=False)
 
 
-def sales_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+def sales_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """CSV with every column as text, so that keys keep their leading zeros.
 
-    ``multi_line`` is for files with line breaks inside quotes; such a file is read
-    by one task, others are split.
+    Quoted names may hold line breaks, as the exports of this library do; a file is
+    then read by one task. Files known to have none are split with ``multi_line=False``.
     """
     return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
 
