@@ -48,10 +48,10 @@ def test_stages(spark, tmp_path):
 
     def passes(text):
         m = plain_measures(text, 8)
-        return m[0] >= 10 and 100 * m[4] <= 20 * m[0] and m[5] <= 0.2 * m[0] and m[6] <= 50
+        return m[0] >= 10 and 100 * m[4] <= 20 * m[0] and m[5] <= 0.1 * m[0] and m[6] <= min(50, max(8, 0.04 * m[0]))
 
     assert {r[0] for r in rows["quality_rules"]} == {r[0] for r in rows["toxicity"] if passes(r[1])}
-    want = plain_line_dedup([(r[0], r[1], r[3]) for r in rows["quality_rules"]], 10, True)
+    want = plain_line_dedup([(r[0], r[1], r[3]) for r in rows["quality_rules"]], 5, True)
     assert sorted(((r[0], r[1]) for r in rows["line_dedup"]), key=repr) == want
     assert all(r[4] == len(r[1]) for r in rows["line_dedup"])
     sets = {r[0]: shingles(r[1]) for r in rows["line_dedup"]}

@@ -88,7 +88,7 @@ WITH lines AS (
   SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL
 ), spread AS (
   SELECT trim(line, ' ' || chr(9) || chr(13)) AS bare, min(doc_id) AS first_doc FROM lines
-  GROUP BY 1 HAVING count(DISTINCT source) >= 10 AND length(bare) > 0
+  GROUP BY 1 HAVING count(DISTINCT source) >= 5 AND length(bare) > 0
 ), parts AS (
   SELECT doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) AS pos,
     unnest(string_split(text, chr(10))) AS line FROM documents
@@ -103,18 +103,21 @@ FROM judged GROUP BY doc_id
 """
 
 #: A repeat of 8 words or more covers what repeated 8-word windows cover, and the
-#: longest repeat is over 50 words if and only if a 51-word window is found twice.
+#: longest repeat is over L words if and only if a window of L + 1 words is found twice.
 OP10 = r"""
 WITH base AS (
   SELECT doc_id, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sizes AS (
+  SELECT doc_id, w, CAST(floor(least(50, greatest(8, CAST(0.04 AS DOUBLE) * len(w)))) AS INTEGER) + 1 AS over FROM base
 ), windows AS (
-  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS win
-  FROM base, (VALUES (5), (8), (51)) AS v(k), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i)
+  SELECT doc_id, kind, k, i, array_to_string(w[i:i + k - 1], ' ') AS win
+  FROM (SELECT doc_id, w, unnest([5, 8, 0]) AS kind, unnest([5, 8, over]) AS k FROM sizes),
+    LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i)
 ), twice AS (
-  SELECT doc_id, k, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k, win) AS c FROM windows) WHERE c > 1
+  SELECT doc_id, kind, k, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, kind, win) AS c FROM windows) WHERE c > 1
 ), cover AS (
-  SELECT doc_id, k, count(DISTINCT p) AS n FROM (SELECT doc_id, k, unnest(range(i, i + k)) AS p FROM twice) GROUP BY 1, 2
+  SELECT doc_id, kind, count(DISTINCT p) AS n FROM (SELECT doc_id, kind, unnest(range(i, i + k)) AS p FROM twice) GROUP BY 1, 2
 ), lines AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS dup
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM base)
@@ -123,15 +126,16 @@ WITH base AS (
   SELECT b.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(coalesce(l.dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(c5.n, 0) AS BIGINT) AS n_repeat_words,
-    CAST(coalesce(c8.n, 0) AS BIGINT) AS covered_words, c51.n IS NOT NULL AS too_long
+    CAST(coalesce(c8.n, 0) AS BIGINT) AS covered_words, c0.n IS NOT NULL AS too_long
   FROM base b LEFT JOIN lines l USING (doc_id)
-  LEFT JOIN cover c5 ON c5.doc_id = b.doc_id AND c5.k = 5
-  LEFT JOIN cover c8 ON c8.doc_id = b.doc_id AND c8.k = 8
-  LEFT JOIN cover c51 ON c51.doc_id = b.doc_id AND c51.k = 51
+  LEFT JOIN cover c5 ON c5.doc_id = b.doc_id AND c5.kind = 5
+  LEFT JOIN cover c8 ON c8.doc_id = b.doc_id AND c8.kind = 8
+  LEFT JOIN cover c0 ON c0.doc_id = b.doc_id AND c0.kind = 0
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 5 * covered_words <= n_words AND NOT too_long AS kept
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND covered_words <= CAST(0.1 AS DOUBLE) * n_words
+    AND NOT too_long AS kept
 FROM counted
 """
 
