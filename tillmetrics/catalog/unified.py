@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillmetrics.catalog.mapping import read, table, with_tables
 from tillmetrics.catalog.profit import STAGED_ORDERS
 from tillmetrics.catalog.registry import query, r, xavg, xsum
+from tillmetrics.operators.asof import asof_join
 from tillmetrics.plans import reports, staging, unified
 
 _UNIFIED = f"""mp_totals as (
@@ -217,3 +218,36 @@ def x11(spark, sf):
         .selectExpr("c_custkey", "c_acctbal", "n_name as currency")
     )
     return unified.convert_currency(accounts, "c_acctbal", "currency", rates, into="amount_eur")
+
+
+_ASOF = """with facts as (
+        select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, cast(l_shipdate as date) as day,
+            case when l_suppkey % 3 = 0 then 0 when l_tax > 0.07 then null else l_partkey end as product
+        from lineitem),
+    changes as (
+        select case when l_suppkey % 3 = 0 then 0 else l_partkey end as product, cast(l_shipdate + interval 20 days as date) as day,
+            max(l_extendedprice * 0.4::double) as cogs
+        from lineitem where l_returnflag = 'R' group by all)"""
+
+
+@query(
+    "x7_asof_costs",
+    _ASOF
+    + """ select f.l_orderkey, f.l_linenumber, f.l_partkey, f.l_suppkey, f.l_extendedprice, f.day, f.product, c.cogs
+    from facts f asof left join changes c on f.product = c.product and f.day >= c.day""",
+)
+def x7_asof(spark, sf):
+    """Every order line with the cost that was valid on its day; one product holds a third of the lines.
+
+    Changes come from returned lines, twenty days later; of several on one day the highest counts.
+    """
+    lines = read(spark, sf, "lineitem")
+    facts = lines.selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "date(l_shipdate) as day",
+        "case when l_suppkey % 3 = 0 then 0 when l_tax > 0.07 then null else l_partkey end as product",
+    )
+    changes = lines.filter("l_returnflag = 'R'").selectExpr(
+        "if(l_suppkey % 3 = 0, 0, l_partkey) as product", "date_add(date(l_shipdate), 20) as changed",
+        "l_extendedprice * 0.4D as cogs",
+    )
+    return asof_join(facts, changes, "product", "day", "changed", ["cogs"])
