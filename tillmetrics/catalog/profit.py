@@ -9,7 +9,8 @@ from tillmetrics.catalog.registry import query, r, xavg, xsum
 from tillmetrics.fixed import SUMMARY_HEADERS
 from tillmetrics.operators.keyed import first_per_key
 from tillmetrics.operators.ranking import latest_rows
-from tillmetrics.plans import profitability, rollups, staging
+from tillmetrics.plans import increments, profitability, rollups, staging
+from tillmetrics.session import scratch_path
 from tillmetrics.sinks.exports import summary_report, weekly_report
 
 
@@ -291,6 +292,26 @@ def a4(spark, sf):
     return rollups.weekly_rollup(marketplace_lines(spark, sf))
 
 
+@query("a4_incremental", f"{V1_WITH}, {A4} select * from a4")
+def a4_incremental(spark, sf):
+    """The same rollup after three loads: some lines wrong and some that do not belong, corrections and
+    the other lines, and a delete. The second load is repeated."""
+    path = scratch_path(spark, "lines")
+    marketplace_lines(spark, sf).write.parquet(path)
+    right, half = spark.read.parquet(path), F.abs(F.xxhash64("order_item_id")) % 2 == 0
+    wrong = right.filter(half).withColumns({"units_sold": F.col("units_sold") + 3, "profit": F.col("profit") - 1.5})
+    late = F.date_add(F.col("date").cast("date"), 2).cast(right.schema["date"].dataType)
+    extra = right.filter(~half).withColumn("date", late)
+    first = wrong.unionByName(extra)
+    rollup = increments.WeeklyRollup(spark, scratch_path(spark, "weeks"), right)
+    rollup.load(1, first, first.filter("false"), first)
+    corrected = right.unionByName(extra)
+    for _ in range(2):
+        rollup.load(2, right, increments.replaced_lines(wrong, right, ["order_id", "order_item_id"]), corrected)
+    rollup.load(3, right.filter("false"), extra, right)
+    return rollup.read()
+
+
 @query("a4_webshop_weekly_rollup", f"{V2_WITH}, {A4_WS} select * from a4")
 def a4_webshop(spark, sf):
     return rollups.weekly_rollup(webshop_lines(spark, sf))

@@ -52,7 +52,26 @@ def exact_agg(
 
     The output has the keys, then ``plain``, then ``measures`` in their order.
     """
-    values = {(m.sql, m.stored): f"_v{i}" for i, m in enumerate(dict.fromkeys(measures.values()))}
+    return exact_results(exact_sums(df, keys, plain, measures), [*keys, *plain], measures)
+
+
+def _values(measures: Mapping[str, Measure]) -> dict[tuple[str, int | None], str]:
+    return {(m.sql, m.stored): f"_v{i}" for i, m in enumerate(dict.fromkeys(measures.values()))}
+
+
+def sum_columns(measures: Mapping[str, Measure]) -> list[str]:
+    """The whole numbers that ``exact_sums`` keeps for the measures; they may be added and taken away."""
+    names = []
+    for (_, stored), v in _values(measures).items():
+        names += [*([f"{v}_high"] if stored is None else []), f"{v}_low", f"{v}_n"]
+    return names
+
+
+def exact_sums(
+    df: DataFrame, keys: Sequence[str], plain: Mapping[str, str], measures: Mapping[str, Measure]
+) -> DataFrame:
+    """The keys, ``plain`` and ``sum_columns`` of each group."""
+    values = _values(measures)
     kept = [f"`{c}`" for c in df.columns]
 
     def scale(stored: int | None) -> int:
@@ -72,7 +91,12 @@ def exact_agg(
     units = scaled.selectExpr(*kept, *split).selectExpr(*kept, *whole)
 
     ordinary = [f"{sql} as `{n}`" for n, sql in plain.items()]
-    grouped = units.groupBy(*keys).agg(*[F.expr(s) for s in ordinary + sums])
+    return units.groupBy(*keys).agg(*[F.expr(s) for s in ordinary + sums])
+
+
+def exact_results(grouped: DataFrame, columns: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame:
+    """``columns`` and the rounded measures from the sums of groups."""
+    values = _values(measures)
 
     def result(m: Measure) -> str:
         v = values[m.sql, m.stored]
@@ -89,7 +113,7 @@ def exact_agg(
         sql = f"{sql} * {m.times}" if m.times != 1 else sql
         return sql if m.digits is None else f"({sql}) * {10**m.digits}D"
 
-    named = [f"`{c}`" for c in (*keys, *plain)]
+    named = [f"`{c}`" for c in columns]
     results = grouped.selectExpr(*named, *[f"{result(m)} as `{n}`" for n, m in measures.items()])
     return results.selectExpr(
         *named,
