@@ -39,13 +39,11 @@ def a5(spark, sf):
 
 @query(
     "j6_shared_ean_orders",
-    with_tables("mp_offers", "mp_orders", more="""mp_two as (
-        select * from mp_offers union all
-        select * replace (concat('O2-', ean) as offer_id) from mp_offers where managed_by_retailer)""")
-    + """select f.offer_id, cast(coalesce(sum(o.quantity), 0) as bigint) as units_sold
-    from mp_two f left join mp_orders o on o.ean = f.ean
-      and cast(o.order_placed_at as date) between date '1998-01-01' and date '1998-12-31'
-    where f.offer_id is not null group by f.offer_id""",
+    with_tables("mp_offers", "mp_orders", more="""sold as (
+        select ean, sum(quantity) as n from mp_orders where year(cast(order_placed_at as date)) = 1998 group by ean)""")
+    + """select shared as offer_id, cast(coalesce(n, 0) as bigint) as units_sold
+    from (select ean, unnest(if(managed_by_retailer, [offer_id, concat('O2-', ean)], [offer_id])) as shared from mp_offers)
+    left join sold using (ean) where shared is not null""",
 )
 def j6(spark, sf):
     return conversion.units_by_offer(
