@@ -188,3 +188,77 @@ def test_keep_one(spark, texts):
     assert got == sorted({r.doc_id for r in ids.collect()})
     assert left.filter("doc_id is null").count() == 2
     assert jaccard_join.keep_one(texts([])).count() == 0
+
+
+def _shared_passages():
+    """(texts, planted): 4,000 texts share 80 words, 20 phrases stand in 250 short texts each.
+
+    Planted pairs have a similarity of 0.8 to 0.82: texts that hold the passage, long
+    and middling texts without it, and a phrase alone with each text that adds a word to it.
+    """
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(20000)]
+
+    def words(n):
+        return [rng.choice(vocabulary) for _ in range(n)]
+
+    passage = words(80)
+    docs, planted = [], []
+
+    def pair(base, changes):
+        """The text and one with words changed so far apart that each costs five windows."""
+        copy = list(base)
+        for c in range(changes):
+            copy[len(passage) + 5 + 6 * c] = "changed" + rng.choice(vocabulary)
+        a, b = shingles(" ".join(base)), shingles(" ".join(copy))
+        assert 0.8 <= len(a & b) / len(a | b) <= 0.82
+        docs.extend([" ".join(base), " ".join(copy)])
+        planted.append((len(docs) - 2, len(docs) - 1))
+
+    for _ in range(200):
+        pair(passage + words(239), 7)
+    docs += [" ".join(passage + words(240)) for _ in range(3600)]
+    for _ in range(100):
+        pair(words(409), 9)
+        pair(words(184), 4)
+    phrases = [words(8) for _ in range(20)]
+    for phrase in phrases:
+        at = len(docs)
+        docs.extend(" ".join([*phrase, rng.choice(vocabulary) + str(k)]) for k in range(250))
+        docs.append(" ".join(phrase))
+        planted += [(at + k, at + 250) for k in range(250)]
+    return docs, planted
+
+
+def test_passages_in_thousands_of_texts(spark, monkeypatch):
+    docs, planted = _shared_passages()
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in jaccard_join.jaccard_classes(rows).collect()}
+    met = sum(got[a].component_id == got[b].component_id for a, b in planted)
+    assert met >= 0.99 * len(planted), (met, len(planted))
+    partners = np.bincount(np.array(planted).ravel(), minlength=len(docs))
+    assert sum(got[i].n_links for i in range(len(docs))) >= 0.99 * partners.sum()
+    assert all(got[i].n_links <= partners[i] for i in range(len(docs)))
+
+    # The groups that are compared: how many rows each has.
+    def count_rows(threshold):
+        import pyarrow as pa
+
+        return lambda table: pa.table({"a": [table.num_rows], "b": [-1]})
+
+    profiles = jaccard_join._profiles(rows, 5)
+    folder = jaccard_join.scratch_path(spark, "groups")
+    profiles.withColumnRenamed("doc_id", "rep").write.parquet(f"{folder}/reps")
+    monkeypatch.setattr(jaccard_join, "_bucket_edges", count_rows)
+    edges = jaccard_join.candidate_edges(spark.read.parquet(f"{folder}/reps"), 0.8, folder)
+    sizes = [r.a for r in edges.filter("b = -1").collect()]
+    assert sum(sizes) > 10000
+    assert max(sizes) < 3 * jaccard_join.LOT_ROWS, sorted(sizes)[-5:]
+
+
+def test_split_levels_reach_their_target():
+    bounds = jaccard_join.child_bounds(0.8)
+    assert len(bounds) == jaccard_join.TOKENS
+    for size, bound in enumerate(bounds, 1):
+        assert 0 < bound <= 1
+        assert jaccard_join.split_miss(size, bound, 0.8) <= jaccard_join.MISS

@@ -5,7 +5,9 @@ of every token whose hash falls below a bound that shrinks with the set's size.
 Buckets above a limit are split again on further sampled tokens of the path's
 own hash; small ones are compared by brute force. `RUNS` samples per set stand
 for as many runs: a pair at the threshold meets with probability above 1 - 1e-6
-at the first level. Inside buckets sets are compared by one-permutation sketches
+at the first level. Where all its buckets are split, each split repeats its
+sampling as often as it takes for the pair to be lost with a computed probability
+of at most `MISS`. Inside buckets sets are compared by one-permutation sketches
 (cut four standard errors below the threshold), and only a spanning forest of
 the likely links leaves a task. Loosely connected sets then meet once, with
 their whole texts, and every link between them is counted exactly.
@@ -31,13 +33,14 @@ from .ship import ship
 RUNS = 16
 #: Sampled tokens a set keeps for the levels below.
 TOKENS = 48
-#: Expected samples of a set in a bucket that is split again; a little over 1 / threshold,
-#: so that the shared paths of a pair at the threshold do not die out.
-BRANCH = 1.5
-LEVELS = 3
+#: How often a pair at the threshold may be lost where every bucket it shares is split at every level.
+MISS = 1e-4
+LEVELS = 5
 #: Buckets up to this size are compared by brute force at once.
 SMALL_BUCKET = 200
 SKETCH_BINS = 256
+#: Rows that are compared in one group, about; a bucket or pair of blocks more at most.
+LOT_ROWS = 4000
 #: Sets per block where a bucket is still large after the last split.
 BLOCK = 512
 #: Sets that meet in one task when links are counted.
@@ -227,6 +230,32 @@ def linked_pairs(row: np.ndarray, token: np.ndarray, n: int, threshold: float) -
     return a[exact], b[exact]
 
 
+def split_miss(size: int, bound: float, threshold: float) -> float:
+    """Probability that no path shared by a pair at the threshold lasts to the last level.
+
+    size: kept tokens of the larger set; the other one may lie inside it, so the pair
+    shares a `threshold` of them. bound: the share of tokens that are children.
+    """
+    shared = int(np.ceil(threshold * size - 1e-9))
+    lost = 0.0
+    for _ in range(LEVELS - 1):
+        lost = (1 - bound + bound * lost) ** shared
+    first = min(1.0, RUNS / size)
+    return (1 - first + first * lost) ** shared
+
+
+def child_bounds(threshold: float, miss: float = MISS) -> list[float]:
+    """For sets of 1, 2, .. `TOKENS` kept tokens the share of them that are children in a split.
+
+    The smallest in steps of a quarter child that keeps `split_miss` below the target.
+    """
+    bounds = []
+    for size in range(1, TOKENS + 1):
+        steps = np.minimum(1.0, np.arange(4, 4 * size + 4) / (4 * size))
+        bounds.append(float(next((b for b in steps if split_miss(size, b, threshold) <= miss), 1.0)))
+    return bounds
+
+
 def _unit(value: Column) -> Column:
     """0 <= x < 1 from a 64-bit hash."""
     return F.shiftrightunsigned(value, 11).cast("double") / F.lit(float(1 << 53))
@@ -240,13 +269,15 @@ def candidate_edges(reps: DataFrame, threshold: float, scratch: str) -> DataFram
     spark = reps.sparkSession
     light = reps.select("rep", F.explode(F.slice("tokens", 1, F.greatest("first", F.lit(1)))).alias("path"))
     edges = None
+    bounds = F.array(*[F.lit(b) for b in child_bounds(threshold)])
 
     def add(found: DataFrame) -> None:
         nonlocal edges
         edges = found if edges is None else edges.unionByName(found)
 
-    def compare(rows: DataFrame) -> DataFrame:
-        """rows: (bucket, rep, sketch); buckets stay whole in a group of buckets."""
+    def compare(rows: DataFrame, count: int) -> DataFrame:
+        """rows: `count` of (bucket, rep, sketch); buckets stay whole in a group of buckets."""
+        lots = max(1, count // LOT_ROWS)
         return rows.withColumn("lot", F.pmod(F.xxhash64("bucket"), F.lit(lots))).groupBy("lot").applyInArrow(
             _bucket_edges(threshold), "a long, b long"
         )
@@ -255,8 +286,9 @@ def candidate_edges(reps: DataFrame, threshold: float, scratch: str) -> DataFram
         sizes = light.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1")
         with_sizes = light.join(sizes, "path")
         path = f"{scratch}/level{level}"
-        # Of a set's tokens only its children in a large bucket go along, about BRANCH numbers.
-        chosen = F.filter("tokens", lambda t: _unit(F.xxhash64("path", t)) < BRANCH / F.size("tokens"))
+        # Of a set's tokens only its children in a large bucket go along, two or three for most.
+        bound = F.element_at(bounds, F.least(F.size("tokens"), F.lit(TOKENS))) * F.least(F.size("tokens"), F.lit(TOKENS))
+        chosen = F.filter("tokens", lambda t: _unit(F.xxhash64("path", t)) < bound / F.size("tokens"))
         children = F.transform(chosen, lambda t: F.xxhash64(t, "path"))
         split = (F.col("size") > SMALL_BUCKET) if level < LEVELS else F.lit(False)
         with_sizes.join(reps.select("rep", "sketch", "tokens"), "rep").select(
@@ -266,8 +298,8 @@ def candidate_edges(reps: DataFrame, threshold: float, scratch: str) -> DataFram
         total = rows.agg(
             F.count(F.when(F.col("size") <= SMALL_BUCKET, 1)), F.count(F.when(F.col("size") > SMALL_BUCKET, 1))
         ).first()
-        lots = max(1, total[0] // 4000)
-        add(compare(rows.filter(F.col("size") <= SMALL_BUCKET).select(F.col("path").alias("bucket"), "rep", "sketch")))
+        small = rows.filter(F.col("size") <= SMALL_BUCKET).select(F.col("path").alias("bucket"), "rep", "sketch")
+        add(compare(small, total[0]))
         if total[1] == 0:
             break
         # Large buckets: whatever is close to the bucket's leader is done with.
@@ -293,7 +325,7 @@ def candidate_edges(reps: DataFrame, threshold: float, scratch: str) -> DataFram
             light.distinct().write.parquet(f"{scratch}/split{level}")
             light = spark.read.parquet(f"{scratch}/split{level}")
         else:
-            add(_block_pairs(rest, compare))
+            add(_block_pairs(rest, compare, f"{scratch}/last"))
     return edges
 
 
@@ -316,16 +348,21 @@ def _nearness(threshold: float):
     return nearness
 
 
-def _block_pairs(rest: DataFrame, compare: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """All of a bucket that is still large after the last split, in pairs of blocks."""
-    sizes = rest.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1")
+def _block_pairs(rest: DataFrame, compare: Callable[[DataFrame, int], DataFrame], scratch: str) -> DataFrame:
+    """All of a bucket that is still large after the last split, in pairs of blocks.
+
+    The pairs of blocks are counted from the buckets' sizes and dealt into lots by that count.
+    """
+    rest.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1").write.parquet(scratch)
+    sizes = rest.sparkSession.read.schema("path long, size long").parquet(scratch)
+    count = sizes.agg(F.coalesce(F.sum(F.col("size") * F.ceil(F.col("size") / BLOCK)), F.lit(0))).first()[0]
     rows = rest.select("path", "rep", "sketch").join(sizes, "path")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("rep"), blocks.cast("long")).cast("int")
     rows = rows.select("path", "rep", "sketch", blocks.alias("blocks"), mine.alias("mine"))
     rows = rows.select("path", "rep", "sketch", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     pair = F.xxhash64("path", F.least("mine", "other"), F.greatest("mine", "other"))
-    return compare(rows.select(pair.alias("bucket"), "rep", "sketch"))
+    return compare(rows.select(pair.alias("bucket"), "rep", "sketch"), count)
 
 
 def jaccard_classes(
