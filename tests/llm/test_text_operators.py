@@ -167,6 +167,9 @@ def test_toxicity(spark, texts):
     train = texts([d for d in docs if d[0] % 3])
     model = toxicity.fit(train, known, fit_rows_per_class=200)
     assert (np.diff(model.thresholds) > 0).all()
+    # Rows that share an id teach once.
+    again = toxicity.fit(train.unionByName(train).unionByName(train), known, fit_rows_per_class=200)
+    assert (again.keys == model.keys).all() and np.allclose(again.weights, model.weights, atol=1e-6)
     rows = docs + [(1000 + i, t) for i, t in enumerate(EDGE)] + [(None, "vile nasty"), docs[0]]
     got = toxicity.severity(texts(rows), model).collect()
     assert len(got) == len(rows)

@@ -170,7 +170,8 @@ def fit(
     partitions; `prior` is the precision of the weights' normal prior. Labels say
     toxic or not; the grades 1..`grades` of toxic rows are derived from how much
     telling language they hold (`derived_grades`). Without toxic rows nothing is
-    toxic. Null labels and ids teach nothing.
+    toxic. Null labels and ids teach nothing; of rows that share an id the first
+    text in order teaches, so the rows sent to the driver stay within the limits.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -200,10 +201,10 @@ def fit(
                 )
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # The sample is bounded by its two limits.
+    # The sample is bounded by its two limits; an id that documents repeat teaches with one text.
+    one = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     got = (
-        texts.join(F.broadcast(sample), "doc_id")
-        .select("label", "text")
+        one.select("label", "text")
         .mapInArrow(work, "label int, keys array<long>, times array<int>")
         .toArrow()
         .combine_chunks()
