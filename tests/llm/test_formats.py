@@ -105,7 +105,7 @@ def test_pieces_round_trip(values):
     assert back == [v.replace("▁", " ") for v in values]
 
 
-def test_pieces_frames(texts):
+def test_pieces_frames(spark, texts):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(2, ODD[2]), (None, "x")]
     encoded = pieces.encode(texts(rows), MODEL)
     got = encoded.collect()
@@ -117,6 +117,12 @@ def test_pieces_frames(texts):
     assert pieces.encode(texts([]), MODEL).count() == 0
     nulls = encoded.selectExpr("doc_id", "cast(null as array<int>) as ids")
     assert {r.text for r in pieces.decode(nulls, MODEL).collect()} == {None}
+    own = [i for r in encoded.collect() if r.doc_id is not None for i in (r.ids or [])][:5]
+    odd = [(1, [-1, *own, 10**6]), (2, [None, *own]), (3, own), (4, []), (5, [-1])]
+    given = spark.createDataFrame([(*row, "x") for row in odd], "doc_id long, ids array<int>, text string")
+    texts_of = {r.doc_id: r.text for r in pieces.decode(given, MODEL).collect()}
+    assert texts_of[1] == texts_of[2] == texts_of[3] and texts_of[4] == texts_of[5] == ""
+    assert pieces.decode(given.limit(0), MODEL).count() == 0
 
 
 def test_long_chunk_and_forgetting(monkeypatch):

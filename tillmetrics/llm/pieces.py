@@ -42,7 +42,8 @@ class Pieces:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
         texts: list[bytes] = [b""] * n
-        normal, self.byte_ids = [], np.full(256, model.unk_id(), np.int64)
+        self.unknown_id = model.unk_id()
+        normal, self.byte_ids = [], np.full(256, self.unknown_id, np.int64)
         for i in range(n):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
@@ -266,7 +267,13 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
 
 
 def decode(encoded: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """(doc_id, text) for (doc_id, ids); null ids give null, bytes that are no UTF-8 the replacement character."""
+    """(doc_id, text) for (doc_id, ids), one row per row.
+
+    Null lists give null, empty ones an empty text. An id that is null, negative or beyond
+    the vocabulary adds nothing to the text; bytes that are no UTF-8 give the replacement
+    character. Repeated rows give one row each, other columns are ignored.
+    An empty table gives an empty result.
+    """
     ship(encoded.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +282,8 @@ def decode(encoded: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: st
             column = batch.column(1)
             lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             bounds = np.append(0, np.cumsum(lengths))
-            ids = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = column.flatten().cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
+            ids = np.where((ids >= 0) & (ids < len(pieces.text_starts) - 1), ids, pieces.unknown_id)
             data, ends = decode_bytes(ids, bounds, pieces)
             raw = data.tobytes()
             texts = [raw[a:b].decode(errors="replace") for a, b in zip(ends[:-1], ends[1:], strict=True)]
