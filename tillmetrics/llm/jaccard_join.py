@@ -35,7 +35,7 @@ RUNS = 16
 TOKENS = 48
 #: How often a pair at the threshold may be lost where every bucket it shares is split at every level.
 MISS = 1e-4
-LEVELS = 5
+LEVELS = 3
 #: Buckets up to this size are compared by brute force at once.
 SMALL_BUCKET = 200
 SKETCH_BINS = 256
