@@ -3,7 +3,7 @@
 from importlib import import_module
 from importlib.util import find_spec
 
-MODULES = ["profit", "conversion", "sales", "files", "keyed", "documents", "quality", "unified", "stream", "scale"]
+MODULES = ["profit", "conversion", "sales", "files", "keyed", "documents", "quality", "unified", "stream", "scale", "stored"]
 
 
 def load_all() -> None:

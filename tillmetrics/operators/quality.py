@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillmetrics.fixed import NOT_NULL, RELATIONSHIPS, UNIQUE
 
@@ -18,7 +18,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 def not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """NULLs per column, all columns in one pass over the table."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    counts = df.agg(*[value.alias(c) for c, value in null_counts(columns).items()])
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("failures")) for c in columns]
     )
@@ -28,8 +28,21 @@ def not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     )
 
 
+def null_counts(columns: list[str]) -> dict[str, Column]:
+    """The aggregates behind ``not_null``, to be taken while a table is written."""
+    return {c: F.count_if(F.col(c).isNull()) for c in columns}
+
+
+def not_null_from(spark: SparkSession, table: str, counts: Mapping[str, int]) -> DataFrame:
+    """Rows of ``not_null`` from counts that are known: one per column."""
+    return spark.createDataFrame([(table, "not_null", c, n) for c, n in counts.items()], _RESULT)
+
+
 def unique(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    """How many values of a key occur more than once; NULLs do not count."""
+    """How many values of a key occur more than once; NULLs do not count.
+
+    A table in buckets of the key is grouped where it lies, without a shuffle.
+    """
     name = ", ".join(columns)
     keyed = df.select(*columns).dropna(how="any")
     repeated = keyed.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")

@@ -78,21 +78,22 @@ def marketplace_profitability(
 
 
 def webshop_profitability(
-    items: DataFrame, orders: DataFrame, costs: DataFrame, listed_name: bool = True
+    items: DataFrame, orders: DataFrame, costs: DataFrame, listed_name: bool = True, bucketed: bool = False
 ) -> DataFrame:
     """Margin, revenue and profit of every web-shop line item.
 
     The affiliate fee applies to orders that came through a landing site. Ad
     cost is shown but not part of the margin. ``listed_name=False`` names a product
-    as the order line does, whatever the cost list says.
+    as the order line does, whatever the cost list says. ``bucketed``: items and
+    orders are tables in equal buckets of order_id (``sinks.bucketed``); they are
+    merged bucket by bucket, without a shuffle.
     """
-    lines = with_lookups(
-        items.select("order_id", "line_item_id", "sku", "name", "quantity", "price", "total_discount"),
-        "order_id",
-        orders.selectExpr("order_id", "created_at as date", "landing_site is not null as _referred"),
-        how="inner",
-        spread_by=["line_item_id"],
-    )
+    ordered = items.select("order_id", "line_item_id", "sku", "name", "quantity", "price", "total_discount")
+    headers = orders.selectExpr("order_id", "created_at as date", "landing_site is not null as _referred")
+    if bucketed:
+        lines = ordered.join(headers.hint("merge"), "order_id")
+    else:
+        lines = with_lookups(ordered, "order_id", headers, how="inner", spread_by=["line_item_id"])
     lines = with_lookups(
         lines,
         "sku",
