@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillmetrics.catalog.mapping import read
 from tillmetrics.catalog.profit import V1_WITH, V2_WITH, marketplace_lines, webshop_lines
-from tillmetrics.catalog.registry import query, r, xavg, xsum
+from tillmetrics.catalog.registry import SQL, query, r, xavg, xsum
 from tillmetrics.functions.flags import discount_flag
 from tillmetrics.operators.ranking import page
 from tillmetrics.plans import kpis, sales_view
+from tillmetrics.session import scratch_path
+from tillmetrics.sinks.pages import StoredPages
 
 # marketplace lines under the kind of names that spreadsheets have
 _NAMES = {
@@ -212,3 +214,11 @@ def a14(spark, sf):
 )
 def o2(spark, sf):
     return page(sales(spark, sf), "revenue", descending=True, number=3)
+
+
+@query("o2_deep_page", SQL["o2_page"].replace("offset 20", "offset 49990"))
+def o2_deep(spark, sf):
+    """Page 5,000 out of stored ranges of the sort order."""
+    stored = StoredPages(spark, scratch_path(spark, "pages"), rows_per_range=5_000)
+    stored.write(sales(spark, sf), "revenue", descending=True)
+    return stored.page(5_000)
