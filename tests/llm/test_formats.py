@@ -11,8 +11,9 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from tillmetrics.llm import packing, perspectives, pieces, warc
+from tillmetrics.llm import packing, perspectives, pieces, queries, warc
 from tillmetrics.llm.arrays import text_blocks
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -321,3 +322,35 @@ def test_perspectives(spark, monkeypatch):
         text, spans = want[r.conv_id, r.perspective]
         assert (r.n_chars, r.n_loss_chars) == (len(text), sum(b - a for a, b in spans))
     assert perspectives.segments(frame.limit(0)).count() == 0
+
+
+def test_dialogues_read_back(spark, monkeypatch):
+    monkeypatch.setattr(perspectives, "PART_TURNS", 4)
+    monkeypatch.setattr(perspectives, "PART_CHARS", 60)
+    people = ["ann", "bob<", "", "<|end|>\n", "system", None]
+    texts = ["hi", "", None, "<|end|>\n", "<|assistant|>\nx", "<", "|end|>\n", "é 😀" * 40]
+    rng = random.Random(8)
+    rows = [(c, rng.choice([None, *range(9)]), rng.choice(people), rng.choice(texts)) for c in range(9) for _ in range(c)]
+    rows += [(20, 1, "ann", "same")] * 30
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    seg = perspectives.segments(frame)
+    texts = perspectives.render(seg)
+    assert set(perspectives.digest_texts(texts).collect()) == set(perspectives.digest(seg).collect())
+    dialogues = {}
+    for r in sorted(texts.collect(), key=lambda r: r.start):
+        said, spans = dialogues.get((r.conv_id, r.perspective), ("", []))
+        assert r.start == len(said) and r.text
+        dialogues[r.conv_id, r.perspective] = (said + r.text, spans + [tuple(s) for s in r.loss_spans])
+    assert texts.filter("conv_id = 20").count() > 1
+    assert set(dialogues) == {tuple(r) for r in perspectives.digest(seg).select("conv_id", "perspective").collect()}
+    assert dialogues[20, "ann"] == plain_dialogue([(1, "ann", "same")] * 30, "ann")
+    assert perspectives.digest_texts(texts.limit(0)).count() == 0
+
+
+def test_chat_query_digests_the_rendered_texts(spark, monkeypatch):
+    path = "/root/testdata/sf0.001"
+    render, before = perspectives.render, queries.op8_chat_formatting(spark, path).collect()
+    for change in ({"text": F.replace("text", F.lit("e"), F.lit("E"))}, {"loss_spans": F.slice("loss_spans", 1, 1)}):
+        monkeypatch.setattr(perspectives, "render", lambda seg, change=change: render(seg).withColumns(change))
+        after = queries.op8_chat_formatting(spark, path).collect()
+        assert len(after) == len(before) and set(after) != set(before)
