@@ -46,6 +46,12 @@ def sf(spark, tmp_path_factory):
     return folder
 
 
+def test_product_files_hold_many_products(spark, sf):
+    got = QUERIES["s5_product_files"](spark, sf)
+    assert got.count() == 1200
+    assert len(got.inputFiles()) == 6
+
+
 def test_upserts_leave_no_batch(spark, rows, tmp_path):
     before = left(spark, "batch")
     table = KeyedTable(spark, str(tmp_path / "t"), "k long, v long", ["k"], buckets=2)

@@ -187,18 +187,30 @@ def s4(spark, sf):
     return insights.country_visits(landing.insights(spark, path)).drop("payload")
 
 
+_PRODUCT = """named_struct('id', p_partkey, 'title', p_name, 'variants', array(
+    named_struct('id', p_partkey * 10, 'title', if(p_size > 25, 'Default Title', p_brand),
+        'sku', string(p_partkey), 'price', string(p_retailprice), 'compare_at_price', string(null),
+        'inventory_quantity', p_size, 'updated_at', '2024-01-01'),
+    named_struct('id', p_partkey * 10 + 1, 'title', 'Spare', 'sku', '', 'price', string(null),
+        'compare_at_price', '9.5', 'inventory_quantity', int(null), 'updated_at', string(null))))"""
+
+
 def _product_texts(spark: SparkSession, sf: str) -> DataFrame:
     """A products file per part: an object with a list, or a bare list."""
-    product = """named_struct('id', p_partkey, 'title', p_name, 'variants', array(
-        named_struct('id', p_partkey * 10, 'title', if(p_size > 25, 'Default Title', p_brand),
-            'sku', string(p_partkey), 'price', string(p_retailprice), 'compare_at_price', string(null),
-            'inventory_quantity', p_size, 'updated_at', '2024-01-01'),
-        named_struct('id', p_partkey * 10 + 1, 'title', 'Spare', 'sku', '', 'price', string(null),
-            'compare_at_price', '9.5', 'inventory_quantity', int(null), 'updated_at', string(null))))"""
     return read(spark, sf, "part").selectExpr(
-        f"""if(p_type = 'LARGE', to_json(array({product})),
-            to_json(named_struct('products', array({product})))) as text"""
+        f"""if(p_type = 'LARGE', to_json(array({_PRODUCT})),
+            to_json(named_struct('products', array({_PRODUCT})))) as text"""
+    )
+
+
+def _product_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Products files of the parts of 250 neighbouring keys: objects with a list, and bare lists."""
+    pages = (
+        read(spark, sf, "part")
+        .groupBy(F.expr("floor(p_partkey / 250)"), F.expr("coalesce(p_type = 'LARGE', false)").alias("bare"))
+        .agg(F.collect_list(F.expr(_PRODUCT)).alias("products"))
     )
+    return pages.selectExpr("if(bare, to_json(products), to_json(struct(products))) as text")
 
 
 @query(

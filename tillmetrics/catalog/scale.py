@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import functions as F
 
-from tillmetrics.catalog.documents import _product_texts
+from tillmetrics.catalog.documents import _product_pages
 from tillmetrics.catalog.keyed import KEYS, SEQ
 from tillmetrics.catalog.mapping import read, table
 from tillmetrics.catalog.profit import V1_WITH
@@ -112,9 +112,9 @@ def k10(spark, sf):
 
 @query("s5_product_files", SQL["p4_product_variants"])
 def s5(spark, sf):
-    """Product files on disk, an object with a list or a bare list in each."""
+    """Product files on disk, an object with a list or a bare list of up to 250 products in each."""
     path = scratch_path(spark, "products")
-    _product_texts(spark, sf).write.option("maxRecordsPerFile", 1).text(path)
+    _product_pages(spark, sf).write.option("maxRecordsPerFile", 1).text(path)
     return flatten.product_variants(landing.products(spark, path))
 
 

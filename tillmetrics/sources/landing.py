@@ -70,9 +70,18 @@ def insights(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.INSIGHTS_DOCUMENT).json(path)
 
 
+#: Tasks that read whole files at most; a session with many cores has more.
+READ_TASKS = 1_000
+
+
 def products(spark: SparkSession, path: str) -> DataFrame:
-    """Products from files that hold one JSON document each."""
-    return products_from_text(spark.read.text(path, wholetext=True), "value")
+    """Products from files that hold one JSON document each.
+
+    Spark counts every small file as several megabytes when it deals files to tasks, so
+    the tasks are united.
+    """
+    tasks = max(READ_TASKS, 8 * spark.sparkContext.defaultParallelism)
+    return products_from_text(spark.read.text(path, wholetext=True).coalesce(tasks), "value")
 
 
 def products_from_text(df: DataFrame, column: str) -> DataFrame:
