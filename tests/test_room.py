@@ -52,6 +52,13 @@ def test_product_files_hold_many_products(spark, sf):
     assert len(got.inputFiles()) == 6
 
 
+def test_landed_documents_are_packed(spark, rows):
+    df = spark.range(50).selectExpr("id", "concat('Straße\n', id) as t")
+    path = land(df, spark, "docs")
+    assert all(f.endswith(".json.gz") for f in spark.read.json(path).inputFiles())
+    assert rows(spark.read.schema("id long, t string").json(path)) == rows(df)
+
+
 def test_upserts_leave_no_batch(spark, rows, tmp_path):
     before = left(spark, "batch")
     table = KeyedTable(spark, str(tmp_path / "t"), "k long, v long", ["k"], buckets=2)
