@@ -68,6 +68,14 @@ def test_upserts_leave_no_batch(spark, rows, tmp_path):
     assert left(spark, "batch") == before
 
 
+def test_ingested_documents_and_old_versions_go(spark, sf):
+    before, tables = left(spark, "orders/*.json*"), left(spark, "items/rows/version=*")
+    got = QUERIES["st1_auto_ingest"](spark, sf)
+    assert got.count() == 480
+    assert left(spark, "orders/*.json*") == before
+    assert len(left(spark, "items/rows/version=*") - tables) == 1
+
+
 def test_setting_comes_back(spark):
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name, None)
