@@ -59,6 +59,16 @@ def test_landed_documents_are_packed(spark, rows):
     assert rows(spark.read.schema("id long, t string").json(path)) == rows(df)
 
 
+@pytest.mark.parametrize("name", ["s10_weekly_files"])
+def test_weekly_files_are_packed(spark, sf, name):
+    got = QUERIES[name](spark, sf)
+    files = got.inputFiles()
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    # Dates twelve days apart: every line has a week of its own.
+    assert got.count() == 240
+    assert not left(spark, "rollup")
+
+
 def test_upserts_leave_no_batch(spark, rows, tmp_path):
     before = left(spark, "batch")
     table = KeyedTable(spark, str(tmp_path / "t"), "k long, v long", ["k"], buckets=2)
