@@ -59,7 +59,7 @@ def test_landed_documents_are_packed(spark, rows):
     assert rows(spark.read.schema("id long, t string").json(path)) == rows(df)
 
 
-@pytest.mark.parametrize("name", ["s10_weekly_files", "u1_weekly_files_to_sales"])
+@pytest.mark.parametrize("name", ["s10_weekly_files", "u1_weekly_files_to_sales", "s10_webshop_weekly_files"])
 def test_weekly_files_are_packed(spark, sf, name):
     got = QUERIES[name](spark, sf)
     files = got.inputFiles()
