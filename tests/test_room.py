@@ -86,6 +86,15 @@ def test_ingested_documents_and_old_versions_go(spark, sf):
     assert len(left(spark, "items/rows/version=*") - tables) == 1
 
 
+def test_bucketed_table_from_stored_rows(spark, tmp_path):
+    df = spark.range(100).selectExpr("id % 10 as k", "id")
+    write_bucketed(df, "room_bucketed", "k", 2, str(tmp_path / "b"))
+    stored = spark.table("room_bucketed")
+    assert stored.count() == 100
+    assert all(".zstd" in f for f in stored.inputFiles())
+    assert not left(spark, "unplaced")
+
+
 def test_setting_comes_back(spark):
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name, None)

@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Observation
 
+from tillmetrics.session import staged
+
 
 def write_bucketed(
     df: DataFrame,
@@ -26,10 +28,12 @@ def write_bucketed(
     shuffle, in the tasks of the last stage, whose figures Spark counts once per part
     however often an executor is lost.
     """
-    placed = df.hint("rebalance", buckets, key)
     seen = Observation()
-    if measured:
-        placed = placed.observe(seen, *[value.alias(label) for label, value in measured.items()])
-    writer = placed.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
-    (writer.option("path", path) if path else writer).saveAsTable(name)
+    # Stored rows let the shuffles they come from go before they are dealt out.
+    with staged(df, "unplaced") as rows:
+        placed = rows.hint("rebalance", buckets, key)
+        if measured:
+            placed = placed.observe(seen, *[value.alias(label) for label, value in measured.items()])
+        writer = placed.write.mode("overwrite").option("compression", "zstd").bucketBy(buckets, key).sortBy(key)
+        (writer.option("path", path) if path else writer).saveAsTable(name)
     return dict(seen.get) if measured else {}
