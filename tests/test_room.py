@@ -95,6 +95,18 @@ def test_bucketed_table_from_stored_rows(spark, tmp_path):
     assert not left(spark, "unplaced")
 
 
+def test_cells_in_two_steps(spark, rows, tmp_path):
+    lines = spark.createDataFrame(
+        [("p", "bol", o, d, 1, 2.5) for o in ("1", "2", None) for d in ("2024-01-01", "2024-01-01", "2024-01-05", None)],
+        "product_id string, channel string, order_id string, day string, units int, revenue double",
+    ).withColumn("day", spans.F.col("day").cast("date"))
+    with staged(spans.daily_sums(lines), "days") as days:
+        cells = spans.cells_of(days)
+        spans.write_cells(cells, str(tmp_path / "cells"))
+    assert rows(spark.read.parquet(str(tmp_path / "cells"))) == rows(spans.performance_cells(lines))
+    assert not left(spark, "days") and not left(spark, "unsorted")
+
+
 def test_setting_comes_back(spark):
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name, None)

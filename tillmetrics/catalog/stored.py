@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import ExitStack
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from tillmetrics.fixed import NOT_NULL, RELATIONSHIPS, UNIQUE
 from tillmetrics.operators import quality
 from tillmetrics.operators.lookups import with_lookups
 from tillmetrics.plans import profitability, spans, staging
-from tillmetrics.session import scratch_path
+from tillmetrics.session import scratch_path, staged
 from tillmetrics.sinks.bucketed import write_bucketed
 
 BUCKETS = 16
@@ -124,5 +125,9 @@ def x6_any_range(spark, sf):
     )
     webshop = with_lookups(items, "order_id", headers, how="inner", spread_by=["product_id", "order_id"])
     path = scratch_path(spark, "cells")
-    spans.write_cells(spans.performance_cells(marketplace.unionByName(webshop)), path)
+    with ExitStack() as kept:
+        # What is stored in between lets the shuffles of a step go before the next.
+        with staged(marketplace.unionByName(webshop), "lines") as lines:
+            days = kept.enter_context(staged(spans.daily_sums(lines), "days"))
+        spans.write_cells(spans.cells_of(days), path)
     return spans.performance_between(spark.read.parquet(path), products(spark, sf), _SPANS)

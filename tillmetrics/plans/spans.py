@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tillmetrics.operators.exact import exact_results, exact_sums, sum_columns, total
 from tillmetrics.operators.lookups import with_lookups
 from tillmetrics.plans.unified import surrogate_key
+from tillmetrics.session import freed_shuffles, staged
 
 _PRODUCT = ["product_id", "channel"]
 _MEASURES = {"total_revenue": total("revenue")}
@@ -29,8 +30,17 @@ def performance_cells(order_lines: DataFrame) -> DataFrame:
     for units and revenue only. Lines shrink to one row per product, order and day before
     the first shuffle, so a hot product or a missing order id is no hot group.
     """
+    return cells_of(daily_sums(order_lines))
+
+
+def daily_sums(order_lines: DataFrame) -> DataFrame:
+    """One row per product, order and day."""
     dated = order_lines.filter("day is not null")
-    per_day = exact_sums(dated, [*_PRODUCT, "order_id", "day"], {"units": "sum(units)"}, _MEASURES)
+    return exact_sums(dated, [*_PRODUCT, "order_id", "day"], {"units": "sum(units)"}, _MEASURES)
+
+
+def cells_of(per_day: DataFrame) -> DataFrame:
+    """Cells of daily sums; the two steps apart let what is in between be stored."""
     before = F.lag("day").over(Window.partitionBy(*_PRODUCT, "order_id").orderBy("day"))
     cells = per_day.withColumn("day_before", before).groupBy(*_PRODUCT, "day", "day_before")
     return cells.agg(
@@ -41,9 +51,14 @@ def performance_cells(order_lines: DataFrame) -> DataFrame:
 
 
 def write_cells(cells: DataFrame, path: str) -> None:
-    """Cells sorted by day, so that a span opens the files of its days only."""
-    placed = cells.repartitionByRange("day", "product_id").sortWithinPartitions("day", "product_id")
-    placed.write.mode("overwrite").parquet(path)
+    """Cells sorted by day, so that a span opens the files of its days only.
+
+    They are stored unsorted first, so that the shuffles they come from are gone when
+    they are sorted.
+    """
+    with staged(cells, "unsorted") as rows, freed_shuffles(cells.sparkSession):
+        placed = rows.repartitionByRange("day", "product_id").sortWithinPartitions("day", "product_id")
+        placed.write.mode("overwrite").parquet(path)
 
 
 def performance_between(
