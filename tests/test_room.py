@@ -107,6 +107,14 @@ def test_cells_in_two_steps(spark, rows, tmp_path):
     assert not left(spark, "days") and not left(spark, "unsorted")
 
 
+def test_a_batch_for_every_load(spark, sf):
+    before = left(spark, "checkpoint/commits/[0-9]*")
+    got = QUERIES["st3_first_seen_stream"](spark, sf)
+    assert got.count() == 240
+    # Four loads and the batches that only move the watermark; the files are six times as many.
+    assert len(left(spark, "checkpoint/commits/[0-9]*") - before) <= 8
+
+
 def test_setting_comes_back(spark):
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name, None)
